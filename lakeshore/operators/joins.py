@@ -98,9 +98,13 @@ def orphans(df: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return anti_join(df.filter(F.col(fk).isNotNull()), parent, fk, pk)
 
 
-def band_join_left(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
-                   left_ts: str, right_ts: str, days: int) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key AND
+def band_join_left(left: DataFrame, right: DataFrame, **kw) -> DataFrame:
+    return band_join(left, right, how="left", **kw)
+
+
+def band_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
+              left_ts: str, right_ts: str, days: int, how: str = "left") -> DataFrame:
+    """``left [LEFT] JOIN right ON left_key = right_key AND
     left_ts BETWEEN right_ts AND right_ts + INTERVAL days DAY`` (both ends closed).
 
     Spark would run this as a sort-merge join on the key alone with the interval as a
@@ -125,7 +129,11 @@ def band_join_left(left: DataFrame, right: DataFrame, *, left_key: str, right_ke
     cond = [F.col(f"l.{left_key}") == F.col(f"r.{right_key}"),
             F.col("l.__bk") == F.col("r.__bk"),
             F.col("l.__lus").between(F.col("r.__rus"), F.col("r.__rus") + F.lit(width))]
-    joined = (lb.alias("l").join(rb.alias("r"), cond, "left")
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    joined = (lb.alias("l").join(rb.alias("r"), cond, how)
               .select(*[F.col(f"l.`{c}`") for c in left.columns],
                       *[F.col(f"r.`{c}`") for c in right.columns]))
+    if how == "inner":
+        return joined
     return joined.unionByName(_pad(left.filter(~matchable), right))
