@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import DAY_US, epoch_micros
+from .joins import DAY_US, day_of, epoch_micros
 
 RANK = ("discount", "marketingdate", "marketingid")
 
@@ -51,20 +51,20 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
          .select(F.col(order_key).alias("__c"), epoch_micros(orders, order_ts).alias("__t"),
                  F.lit(1).alias("__tag"), F.lit(None).cast(vtype).alias("__v"),
                  F.struct(*[F.col(f"`{c}`") for c in ocols]).alias("__o")))
-    o = o.withColumn("__d", F.floor(F.col("__t") / DAY_US))
+    o = o.withColumn("__d", day_of(F.col("__t")))
     otype = o.schema["__o"].dataType
 
     c = (campaigns.filter(F.col(campaign_key).isNotNull() & F.col(campaign_ts).isNotNull())
          .select(F.col(campaign_key).alias("__c"), epoch_micros(campaigns, campaign_ts).alias("__t"),
                  _rank_struct(rank, camp_cols).alias("__v")))
     none_o = F.lit(None).cast(otype).alias("__o")
-    same_day = c.select("__c", F.floor(F.col("__t") / DAY_US).alias("__d"), "__t",
+    same_day = c.select("__c", day_of(F.col("__t")).alias("__d"), "__t",
                         F.lit(0).alias("__tag"), "__v", none_o)
-    shifted = c.select("__c", F.floor((F.col("__t") + width) / DAY_US).alias("__d"),
+    shifted = c.select("__c", day_of(F.col("__t") + F.lit(width)).alias("__d"),
                        (F.col("__t") + width).alias("__t"), F.lit(2).alias("__tag"), "__v", none_o)
     parts = [o.select("__c", "__d", "__t", "__tag", "__v", "__o"), same_day, shifted]
     if days >= 2:
-        daily = (c.groupBy("__c", F.floor(F.col("__t") / DAY_US).alias("__e"))
+        daily = (c.groupBy("__c", day_of(F.col("__t")).alias("__e"))
                  .agg(F.max("__v").alias("__v")))
         spread = (daily.withColumn("__d", F.explode(F.sequence(F.col("__e") + 1,
                                                                F.col("__e") + days - 1)))

@@ -20,7 +20,10 @@ def epoch_micros(df: DataFrame, col: str) -> Column:
     """Microseconds since the epoch, exact and time-zone free for the column's type."""
     t = df.schema[col].dataType
     if isinstance(t, TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+        # wall-clock fields only: no conversion through the session time zone
+        return F.expr(f"unix_date(to_date(`{col}`)) * {DAY_US} + hour(`{col}`) * 3600000000L"
+                      f" + minute(`{col}`) * 60000000L"
+                      f" + cast(extract(SECOND FROM `{col}`) * 1000000 as bigint)")
     if isinstance(t, TimestampType):
         return F.unix_micros(F.col(col))
     if isinstance(t, DateType):
@@ -28,6 +31,12 @@ def epoch_micros(df: DataFrame, col: str) -> Column:
     raise TypeError(f"{col}: expected a timestamp or date column, got {t.simpleString()}")
 
 
+def day_of(micros: Column) -> Column:
+    """UTC day number of epoch micros (exact integer floor division)."""
+    # (m - pmod(m, D)) is an exact multiple of D, so the quotient is exact
+    return ((micros - F.pmod(micros, F.lit(DAY_US))) / F.lit(DAY_US)).cast("bigint")
+
+
 def _pad(df: DataFrame, other: DataFrame) -> DataFrame:
     """``df`` with every column of ``other`` appended as a typed NULL."""
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema])
@@ -67,11 +76,12 @@ def not_in(left: DataFrame, col: str, right: DataFrame, right_col: str | None =
     r = right.select(F.col(right_col).alias("__rk"))
     facts = r.agg(F.struct(F.count(F.lit(1)).alias("n"),
                            F.count_if(F.col("__rk").isNull()).alias("nulls"))).scalar()
-    keyed = (left.filter(F.col(col).isNotNull())
-             .join(r.filter(F.col("__rk").isNotNull()), F.col(col) == F.col("__rk"), "left_anti")
-             .filter(facts.getField("nulls") == 0))
-    unkeyed = left.filter(F.col(col).isNull()).filter(facts.getField("n") == 0)
-    return keyed.unionByName(unkeyed)
+    # one pass over ``left``: a NULL key matches nothing in the anti join and is then
+    # decided by the facts (kept only when the right side is empty)
+    survivors = left.join(r.filter(F.col("__rk").isNotNull()), F.col(col) == F.col("__rk"),
+                          "left_anti")
+    return survivors.filter((facts.getField("nulls") == 0)
+                            & (F.col(col).isNotNull() | (facts.getField("n") == 0)))
 
 
 def membership_flag(df: DataFrame, col: str, keys: DataFrame, key_col: str | None = None,
@@ -122,10 +132,10 @@ def band_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     rb = (right.filter(F.col(right_key).isNotNull() & F.col(right_ts).isNotNull())
           .withColumn("__rus", r_us)
           .withColumn("__bk", F.explode(F.sequence(
-              F.floor(F.col("__rus") / DAY_US), F.floor((F.col("__rus") + width) / DAY_US)))))
+              day_of(F.col("__rus")), day_of(F.col("__rus") + F.lit(width))))))
     matchable = F.col(left_key).isNotNull() & F.col(left_ts).isNotNull()
     lb = left.filter(matchable).withColumn("__lus", l_us) \
-        .withColumn("__bk", F.floor(F.col("__lus") / DAY_US))
+        .withColumn("__bk", day_of(F.col("__lus")))
     cond = [F.col(f"l.{left_key}") == F.col(f"r.{right_key}"),
             F.col("l.__bk") == F.col("r.__bk"),
             F.col("l.__lus").between(F.col("r.__rus"), F.col("r.__rus") + F.lit(width))]

@@ -45,19 +45,14 @@ def double_attribution_rows(s: Silver, days: int = 7) -> DataFrame:
 def best_attribution(s: Silver, days: int = 7) -> DataFrame:
     """One row per order: the order with its first-ranked campaign (NULLs when none).
 
-    No pairs are formed for orders with a key. If an order key occurs with different
-    attributes (whole-row dedup keeps both), the variant with the better campaign wins, as
-    in the flag-based definition. Rows with a NULL order key keep every pair, as there.
+    No order x campaign pairs are formed. If an order key occurs with different attributes
+    (whole-row dedup keeps both), the variant with the better campaign wins, as in the
+    flag-based definition. Silver declares ``orderid NOT NULL``; a row that breaks it
+    anyway is kept with its own best campaign (``audit_primary_key`` reports it).
     """
-    camp = clicked(s.marketing)
-    keyed = s.orders.filter(F.col("orderid").isNotNull())
-    best = best_in_window(keyed, camp, days=days)
-    one = first_per_key(best, key="orderid", rank=RANK,
-                        tie_break=[c for c in s.orders.columns if c != "orderid"])
-    nokey = band_join_left(s.orders.filter(F.col("orderid").isNull()), camp,
-                           left_key="customerid", right_key="targetedcustomerid",
-                           left_ts="transactiondate", right_ts="marketingdate", days=days)
-    return one.unionByName(nokey)
+    best = best_in_window(s.orders, clicked(s.marketing), days=days)
+    return first_per_key(best, key="orderid", rank=RANK,
+                         tie_break=[c for c in s.orders.columns if c != "orderid"])
 
 
 def gold_attribution(s: Silver, days: int = 7) -> DataFrame:

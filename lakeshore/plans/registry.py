@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import materialize
 from ..sources import fixtures
 from . import gold, silver
 
@@ -28,11 +29,16 @@ def bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> fixtur
     return fixtures.bronze(spark, sf_dir, with_nulls)
 
 
-def silver_layer(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> gold.Silver:
+def silver_layer(spark: SparkSession, sf_dir: str, with_nulls: bool = False,
+                 materialized: bool = True) -> gold.Silver:
+    """The three silver tables. Materialized (the default) each is written once to the
+    shared folder and read back, as the job hands layers over by table: the customers
+    table feeds three later joins and would otherwise be recomputed by each."""
     b = bronze(spark, sf_dir, with_nulls)
-    cs = silver.customers_silver(b.customers)
-    return gold.Silver(cs, silver.orders_silver(b.orders, cs),
-                       silver.marketing_silver(b.marketing, cs))
+    keep = (lambda df, name: materialize(df, name)) if materialized else (lambda df, name: df)
+    cs = keep(silver.customers_silver(b.customers), "customers_silver")
+    return gold.Silver(cs, keep(silver.orders_silver(b.orders, cs), "orders_silver"),
+                       keep(silver.marketing_silver(b.marketing, cs), "marketing_silver"))
 
 
 def gold_table(spark: SparkSession, sf_dir: str, days: int = 7) -> DataFrame:

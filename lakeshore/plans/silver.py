@@ -17,7 +17,9 @@ def customers_clean(bronze: DataFrame, key: str = "clientid", value: str = "emai
     value is shared, and a shared NULL (two keys without email) empties the result.
     """
     d0 = dedup_rows(bronze)
-    shared = shared_values(d0, value, key)
+    # count(distinct key) per value is the same over the distinct rows and over all rows,
+    # so the groups come straight from the landing rows (no second pass over d0)
+    shared = shared_values(bronze, value, key)
     return not_in(d0, value, shared, value)
 
 

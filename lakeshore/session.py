@@ -55,3 +55,17 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the shared root."""
     return os.path.join(shared_root(spark), "lakeshore", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared root and return the scan of it.
+
+    Cuts the lineage of a result that several later steps read (every step then scans
+    files instead of recomputing joins and aggregates), survives the loss of executors
+    (unlike ``cache`` or a local checkpoint), and keeps Parquet column pruning and filter
+    push-down for the readers.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
