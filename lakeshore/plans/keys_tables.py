@@ -383,3 +383,44 @@ union all select 'gold_order_attribution', count(*) from gold""", gold=True))
 def pipeline_end_to_end(spark, d):
     """The whole job in dependency order; row counts per written layer."""
     return P.run_pipeline(spark, d).counts()
+
+
+# ---- incremental load (Structured Streaming) ----------------------------------------------
+
+@register("incremental_ingest", with_flow("select * from customers_bronze", silver=False))
+def incremental_ingest(spark, d):
+    """Three landing files streamed into bronze (availableNow), then the same landing folder
+    streamed again: the second run finds no new file, so bronze is not doubled."""
+    from ..streaming.ingest import ingest_available
+    root = fresh_path(spark, "stream")
+    P.land_files(spark, d, root, entities=("customers",))
+    schema = bronze(spark, d).customers.schema
+    glob = f"{root}/landing/customers_00*.csv/*.csv"
+    for _ in range(2):
+        out = ingest_available(spark, glob, schema, f"{root}/bronze/customers", f"{root}/_ckpt",
+                               max_files_per_trigger=1)
+    return out
+
+
+@register("incremental_silver_merge", with_flow(
+    """select orderid, date_trunc('second', transactiondate) as transactiondate, items, amount,
+              customerid from orders_silver"""))
+def incremental_silver_merge(spark, d):
+    """Orders landing files streamed batch by batch into the versioned silver table with
+    the insert-only merge (FK-validated against silver customers)."""
+    from ..streaming.ingest import ingest_each_batch
+    root = fresh_path(spark, "stream_silver")
+    P.land_files(spark, d, root, entities=("orders",))
+    schema = bronze(spark, d).orders.schema
+    customers = silver_layer(spark, d).customers
+    table = SnapshotTable(spark, f"{root}/silver/orders")
+    table.create(schema)
+
+    def apply(batch, batch_id):
+        src = S.validated(batch, "customerid", customers, "clientid")
+        table.commit(X.merge_insert(table.read(), src, "orderid"), "MERGE",
+                     {"batch": batch_id, "mode": "insert"})
+
+    glob = f"{root}/landing/orders_00*.csv/*.csv"
+    ingest_each_batch(spark, glob, schema, f"{root}/_ckpt", apply, max_files_per_trigger=1)
+    return table.read()
