@@ -359,3 +359,46 @@ def duplicate_records(spark, d):
        order by email asc, creation_date desc""", silver=False))
 def shared_email_records(spark, d):
     return R.shared_value_records(bronze(spark, d).customers, "email", "creation_date")
+
+
+# ---- O15, O16: key audits -------------------------------------------------------------------
+
+@register("audit_primary_key", with_flow(
+    """select orderid, count(*) as n_rows,
+              case when orderid is null then 'null_key' else 'duplicate_key' end as violation
+       from orders_bronze group by orderid having orderid is null or count(*) > 1""",
+    silver=False))
+def audit_primary_key(spark, d):
+    """PRIMARY KEY (orderid) checked on the landing rows: NULL or repeated keys."""
+    return Q.audit_primary_key(bronze(spark, d).orders, "orderid")
+
+
+@register("audit_foreign_key", with_flow(
+    """select * from marketing_bronze m where targetedcustomerid is not null
+       and not exists (select 1 from customers_silver c where c.clientid = m.targetedcustomerid)""",
+    with_nulls=True))
+def audit_foreign_key(spark, d):
+    """FOREIGN KEY (targetedcustomerid) REFERENCES customers_silver (clientid), on the
+    landing rows of the NULL variant: NULL references are not violations."""
+    s = silver_layer(spark, d, with_nulls=True)
+    return Q.audit_foreign_key(bronze(spark, d, with_nulls=True).marketing, "targetedcustomerid",
+                               s.customers, "clientid")
+
+
+@register("audit_silver_keys", with_flow(
+    """select 'orders_silver' as table_name, count(*) - count(distinct orderid) as duplicate_keys,
+              count(*) - count(orderid) as null_keys from orders_silver
+       union all select 'marketing_silver', count(*) - count(distinct marketingid),
+              count(*) - count(marketingid) from marketing_silver
+       union all select 'customers_silver', count(*) - count(distinct clientid),
+              count(*) - count(clientid) from customers_silver"""))
+def audit_silver_keys(spark, d):
+    """Silver uniqueness probe per table: rows beyond one per key, and NULL keys."""
+    s = silver_layer(spark, d)
+    parts = [df.agg(F.lit(name).alias("table_name"),
+                    (F.count(F.lit(1)) - F.count_distinct(key)).alias("duplicate_keys"),
+                    (F.count(F.lit(1)) - F.count(key)).alias("null_keys"))
+             for name, df, key in (("orders_silver", s.orders, "orderid"),
+                                   ("marketing_silver", s.marketing, "marketingid"),
+                                   ("customers_silver", s.customers, "clientid"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -92,10 +92,32 @@ def merge_silver(spark: SparkSession, table: SnapshotTable, source: DataFrame, k
     return table.read()
 
 
+def parse_flag(value) -> bool:
+    """Job parameters arrive as text: 'False', '0', 'no' and '' mean False."""
+    if isinstance(value, bool):
+        return value
+    return str(value).strip().lower() not in ("", "0", "false", "no", "off")
+
+
+def drop_tables(spark: SparkSession, root: str) -> None:
+    """``DROP TABLE IF EXISTS`` for every bronze / silver / gold table under ``root``."""
+    jvm = spark.sparkContext._jvm
+    for layer in ("bronze", "silver", "gold"):
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/{layer}")
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None, days: int = 7,
-                 runs: int = 1) -> PipelineRun:
-    """Land, load bronze, merge silver (``runs`` times: merges are idempotent), write gold."""
+                 runs: int = 1, recreate_tables="False") -> PipelineRun:
+    """Land, load bronze, merge silver (``runs`` times: merges are idempotent), write gold.
+
+    With ``recreate_tables`` set, existing tables under ``root`` are dropped first (bronze is
+    appended to, so a re-run without dropping doubles it, as in the scheduled job)."""
     root = root or fresh_path(spark, "pipeline")
+    if parse_flag(recreate_tables):
+        drop_tables(spark, root)
     schemas = fixture_schemas(spark, sf_dir)
     files = land_files(spark, sf_dir, root)
     bronze = {e: load_bronze(spark, files[e], schemas[e], f"{root}/bronze/{e}") for e in ENTITIES}
