@@ -11,9 +11,10 @@ pairs. The window [t - W, t] (W = days) is cut at UTC day boundaries into
 * the whole days d - days + 1 .. d - 1               -> per-day maximum, spread to the
                                                         following days, maximum again
 
-All three are evaluated in one window pass over (customer, day) partitions, so the work is
-linear in orders + campaigns, a busy customer is split by day, and the largest group a task
-holds is one customer-day. "Ranks first" is the maximum of a struct whose leading fields
+All three are evaluated in one window pass over (customer, day, split) partitions (split =
+one hour by default), so the work is linear in orders + campaigns, a busy customer is split
+by day and hour, and the largest group of raw rows a task holds is one customer-hour; the
+rest of the order's own day enters as per-hour maxima. "Ranks first" is the maximum of a struct whose leading fields
 are the ranking columns; in a struct NULL is the smallest value, which matches
 ``ORDER BY ... DESC`` (NULLS LAST).
 """
@@ -34,61 +35,110 @@ def _rank_struct(cols: Sequence[str], rest: Sequence[str]) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in list(cols) + [c for c in rest if c not in cols]])
 
 
+HOUR_US = 3_600_000_000
+
+
 def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
                    order_key: str = "customerid", order_ts: str = "transactiondate",
                    campaign_key: str = "targetedcustomerid", campaign_ts: str = "marketingdate",
-                   rank: Sequence[str] = RANK) -> DataFrame:
-    """Every order row with the columns of its best campaign appended (NULL when none)."""
+                   rank: Sequence[str] = RANK, split_us: int = HOUR_US) -> DataFrame:
+    """Every order row with the columns of its best campaign appended (NULL when none).
+
+    ``split_us`` (a divisor of a day) cuts each customer-day once more: the raw rows meet
+    in windows over (customer, day, split) only, and the parts of the order's own day
+    outside its split come from per-split maxima (aggregated, at most 3 * day / split
+    rows per customer-day). ``split_us = DAY_US`` keeps whole days.
+    """
     if days < 1:
         raise ValueError("the attribution window must be at least one day")
+    if split_us <= 0 or DAY_US % split_us:
+        raise ValueError("split_us must divide a day")
     width = days * DAY_US
-    camp_cols = campaigns.columns
-    ocols = orders.columns
+    camp_cols, ocols = campaigns.columns, orders.columns
     vtype = campaigns.select(_rank_struct(rank, camp_cols).alias("v")).schema["v"].dataType
 
+    def sub(t: Column) -> Column:
+        return (F.pmod(t, F.lit(DAY_US)) / F.lit(split_us)).cast("bigint") \
+            if split_us < DAY_US else F.lit(0).cast("bigint")
+
     ok = F.col(order_key).isNotNull() & F.col(order_ts).isNotNull()
     o = (orders.filter(ok)
          .select(F.col(order_key).alias("__c"), epoch_micros(orders, order_ts).alias("__t"),
-                 F.lit(1).alias("__tag"), F.lit(None).cast(vtype).alias("__v"),
-                 F.struct(*[F.col(f"`{c}`") for c in ocols]).alias("__o")))
-    o = o.withColumn("__d", day_of(F.col("__t")))
+                 F.struct(*[F.col(f"`{c}`") for c in ocols]).alias("__o"))
+         .withColumn("__d", day_of(F.col("__t"))).withColumn("__h", sub(F.col("__t"))))
     otype = o.schema["__o"].dataType
+    none_o = F.lit(None).cast(otype).alias("__o")
+    none_v = F.lit(None).cast(vtype).alias("__v")
 
     c = (campaigns.filter(F.col(campaign_key).isNotNull() & F.col(campaign_ts).isNotNull())
          .select(F.col(campaign_key).alias("__c"), epoch_micros(campaigns, campaign_ts).alias("__t"),
                  _rank_struct(rank, camp_cols).alias("__v")))
-    none_o = F.lit(None).cast(otype).alias("__o")
-    same_day = c.select("__c", day_of(F.col("__t")).alias("__d"), "__t",
-                        F.lit(0).alias("__tag"), "__v", none_o)
-    shifted = c.select("__c", day_of(F.col("__t") + F.lit(width)).alias("__d"),
-                       (F.col("__t") + width).alias("__t"), F.lit(2).alias("__tag"), "__v", none_o)
-    parts = [o.select("__c", "__d", "__t", "__tag", "__v", "__o"), same_day, shifted]
+    # tag 0: a campaign in its own day; tag 2: the campaign moved forward by the window
+    same = c.select("__c", "__t", "__v", F.lit(0).alias("__tag"))
+    moved = c.select("__c", (F.col("__t") + F.lit(width)).alias("__t"), "__v",
+                     F.lit(2).alias("__tag"))
+    raw = same.unionByName(moved).withColumn("__d", day_of(F.col("__t"))) \
+        .withColumn("__h", sub(F.col("__t")))
+
+    # whole days d - days + 1 .. d - 1: per-day maxima spread forward (aggregated rows only)
+    full = None
     if days >= 2:
-        daily = (c.groupBy("__c", day_of(F.col("__t")).alias("__e"))
+        daily = (same.groupBy("__c", day_of(F.col("__t")).alias("__e"))
                  .agg(F.max("__v").alias("__v")))
-        spread = (daily.withColumn("__d", F.explode(F.sequence(F.col("__e") + 1,
-                                                               F.col("__e") + days - 1)))
-                  .groupBy("__c", "__d").agg(F.max("__v").alias("__v")))
-        parts.append(spread.select("__c", "__d", F.lit(None).cast("bigint").alias("__t"),
-                                   F.lit(3).alias("__tag"), "__v", none_o))
+        full = (daily.withColumn("__d", F.explode(F.sequence(F.col("__e") + 1,
+                                                             F.col("__e") + days - 1)))
+                .groupBy("__c", "__d").agg(F.max("__v").alias("__v")))
+
+    if split_us < DAY_US:
+        # per (customer, day, split) maxima of both kinds, then, for each split that holds
+        # orders, the maximum over earlier splits (tag 0 rows) and later splits (tag 2 rows)
+        per_split = raw.groupBy("__c", "__d", "__h", "__tag").agg(F.max("__v").alias("__v"))
+        # grid order at equal split: moved (g=0) < order key (g=1) < same-day (g=2)
+        g = [per_split.select("__c", "__d", "__h", "__v",
+                              F.when(F.col("__tag") == 2, 0).otherwise(2).alias("__g")),
+             o.select("__c", "__d", "__h").distinct()
+             .select("__c", "__d", "__h", none_v, F.lit(1).alias("__g"))]
+        if full is not None:
+            g.append(full.select("__c", "__d", F.lit(None).cast("bigint").alias("__h"), "__v",
+                                 F.lit(3).alias("__g")))
+        grid = g[0]
+        for x in g[1:]:
+            grid = grid.unionByName(x)
+        gw = Window.partitionBy("__c", "__d").orderBy("__h", "__g")
+        before = F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(
+            gw.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        after = F.max(F.when(F.col("__g") == 0, F.col("__v"))).over(
+            gw.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        whole_day = F.max(F.when(F.col("__g") == 3, F.col("__v"))).over(
+            gw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        outside = (grid.withColumn("__z", F.greatest(before, after, whole_day))
+                   .filter(F.col("__g") == 1).select("__c", "__d", "__h", F.col("__z").alias("__v")))
+    else:
+        outside = full.select("__c", "__d", F.lit(0).cast("bigint").alias("__h"), "__v") \
+            if full is not None else None
+
+    parts = [o.select("__c", "__d", "__h", "__t", F.lit(1).alias("__tag"), none_v, "__o"),
+             raw.select("__c", "__d", "__h", "__t", "__tag", "__v", none_o)]
+    if outside is not None:
+        parts.append(outside.select("__c", "__d", "__h", F.lit(None).cast("bigint").alias("__t"),
+                                    F.lit(3).alias("__tag"), "__v", none_o))
     u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    for x in parts[1:]:
+        u = u.unionByName(x)
 
-    w = Window.partitionBy("__c", "__d").orderBy("__t", "__tag")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = Window.partitionBy("__c", "__d", "__h").orderBy("__t", "__tag")
 
-    def pick(tag: int, frame) -> Column:
-        return F.max(F.when(F.col("__tag") == tag, F.col("__v"))).over(frame)
+    def pick(tag: int, lo, hi) -> Column:
+        return F.max(F.when(F.col("__tag") == tag, F.col("__v"))).over(w.rowsBetween(lo, hi))
 
-    best = F.greatest(pick(0, upto), pick(2, after), pick(3, whole)) if days >= 2 \
-        else F.greatest(pick(0, upto), pick(2, after))
-    scored = (u.withColumn("__best", best).filter(F.col("__tag") == 1)
+    best = [pick(0, Window.unboundedPreceding, Window.currentRow),
+            pick(2, Window.currentRow, Window.unboundedFollowing)]
+    if outside is not None:
+        best.append(pick(3, Window.unboundedPreceding, Window.unboundedFollowing))
+    scored = (u.withColumn("__best", F.greatest(*best)).filter(F.col("__tag") == 1)
               .select("__o.*", "__best"))
-    matched = scored.select(*[F.col(f"`{c}`") for c in ocols],
-                            *[F.col(f"__best.`{c}`").alias(c) for c in camp_cols])
+    matched = scored.select(*[F.col(f"`{x}`") for x in ocols],
+                            *[F.col(f"__best.`{x}`").alias(x) for x in camp_cols])
     unmatched = orders.filter(~ok).select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in campaigns.schema])
     return matched.unionByName(unmatched)

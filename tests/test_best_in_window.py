@@ -19,8 +19,8 @@ def _brute(orders, camps, days):
     return out
 
 
-@pytest.mark.parametrize("seed,days", [(1, 7), (2, 1), (3, 10), (4, 2)])
-def test_random_against_brute_force(spark, seed, days):
+@pytest.mark.parametrize("seed,days,split", [(1, 7, None), (2, 1, None), (3, 10, None), (4, 2, None), (5, 7, 86_400_000_000), (6, 1, 86_400_000_000), (7, 3, 600_000_000)])
+def test_random_against_brute_force(spark, seed, days, split):
     rnd = random.Random(seed)
     base = dt.datetime(2024, 1, 1)
     # customer 0 holds about a third of everything (a hot key); times hit day edges often
@@ -28,8 +28,13 @@ def test_random_against_brute_force(spark, seed, days):
         return 0 if rnd.random() < 0.33 else rnd.randint(1, 20)
 
     def when():
-        if rnd.random() < 0.2:
+        r = rnd.random()
+        if r < 0.2:
             return base + dt.timedelta(days=rnd.randint(0, 30))            # midnight
+        if r < 0.35:
+            return base + dt.timedelta(hours=rnd.randint(0, 30 * 24))     # on the hour
+        if r < 0.45:   # the last microsecond of an hour
+            return base + dt.timedelta(hours=rnd.randint(1, 30 * 24)) - dt.timedelta(microseconds=1)
         return base + dt.timedelta(seconds=rnd.randint(0, 30 * 86400), microseconds=rnd.randint(0, 999999))
 
     camps = []
@@ -48,7 +53,8 @@ def test_random_against_brute_force(spark, seed, days):
                                       "amount int, customerid int")
     m = spark.createDataFrame(camps, "marketingid int, marketingdate timestamp_ntz, discount double, "
                                      "clicked int, targetedcustomerid int").filter("clicked = 1")
-    got = {r.orderid: r.marketingid for r in best_in_window(o, m, days=days).collect()}
+    kw = {"split_us": split} if split else {}
+    got = {r.orderid: r.marketingid for r in best_in_window(o, m, days=days, **kw).collect()}
     assert got == _brute(orders, camps, days)
     pairs = band_join(o, m, left_key="customerid", right_key="targetedcustomerid",
                       left_ts="transactiondate", right_ts="marketingdate", days=days, how="inner")
