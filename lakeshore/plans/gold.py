@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.attribution import (RANK, best_in_window, double_attribution_flag,
                                      first_per_key, multi_attribution_orders)
 from ..operators.joins import band_join_left, semi_join
+from ..session import materialize
 
 
 @dataclass(frozen=True)
@@ -37,8 +38,14 @@ def attribution_staging(s: Silver, days: int = 7) -> DataFrame:
 
 
 def double_attribution_rows(s: Silver, days: int = 7) -> DataFrame:
-    """Staging rows of the orders matched to more than one distinct campaign."""
-    st = attribution_staging(s, days)
+    """Staging rows of the orders matched to more than one distinct campaign.
+
+    The staging pairs are written once and read twice (distinct count per order, then
+    the semi join back), instead of running the interval join twice. The count is a
+    partial + final aggregate and the semi join can be split by AQE, so an order with
+    very many pairs is not held by one task.
+    """
+    st = materialize(attribution_staging(s, days), "attribution_staging")
     return semi_join(st, multi_attribution_orders(st), "orderid")
 
 

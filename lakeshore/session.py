@@ -68,4 +68,5 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer pass to infer it
+    return spark.read.schema(df.schema).parquet(path)
