@@ -74,17 +74,19 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
          .select(F.col(campaign_key).alias("__c"), epoch_micros(campaigns, campaign_ts).alias("__t"),
                  _rank_struct(rank, camp_cols).alias("__v")))
     # tag 0: a campaign in its own day; tag 2: the campaign moved forward by the window
-    same = c.select("__c", "__t", "__v", F.lit(0).alias("__tag"))
-    moved = c.select("__c", (F.col("__t") + F.lit(width)).alias("__t"), "__v",
-                     F.lit(2).alias("__tag"))
-    raw = same.unionByName(moved).withColumn("__d", day_of(F.col("__t"))) \
-        .withColumn("__h", sub(F.col("__t")))
+    # (both copies from one scan)
+    copies = F.array(F.struct(F.col("__t").alias("t"), F.lit(0).alias("tag")),
+                     F.struct((F.col("__t") + F.lit(width)).alias("t"), F.lit(2).alias("tag")))
+    raw = (c.select("__c", "__v", F.explode(copies).alias("__x"))
+           .select("__c", F.col("__x.t").alias("__t"), "__v", F.col("__x.tag").alias("__tag"))
+           .withColumn("__d", day_of(F.col("__t"))).withColumn("__h", sub(F.col("__t"))))
+    per_split = raw.groupBy("__c", "__d", "__h", "__tag").agg(F.max("__v").alias("__v"))
 
     # whole days d - days + 1 .. d - 1: per-day maxima spread forward (aggregated rows only)
     full = None
     if days >= 2:
-        daily = (same.groupBy("__c", day_of(F.col("__t")).alias("__e"))
-                 .agg(F.max("__v").alias("__v")))
+        daily = (per_split.filter(F.col("__tag") == 0)
+                 .groupBy("__c", F.col("__d").alias("__e")).agg(F.max("__v").alias("__v")))
         full = (daily.withColumn("__d", F.explode(F.sequence(F.col("__e") + 1,
                                                              F.col("__e") + days - 1)))
                 .groupBy("__c", "__d").agg(F.max("__v").alias("__v")))
@@ -92,7 +94,6 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
     if split_us < DAY_US:
         # per (customer, day, split) maxima of both kinds, then, for each split that holds
         # orders, the maximum over earlier splits (tag 0 rows) and later splits (tag 2 rows)
-        per_split = raw.groupBy("__c", "__d", "__h", "__tag").agg(F.max("__v").alias("__v"))
         # grid order at equal split: moved (g=0) < order key (g=1) < same-day (g=2)
         g = [per_split.select("__c", "__d", "__h", "__v",
                               F.when(F.col("__tag") == 2, 0).otherwise(2).alias("__g")),
@@ -166,13 +167,14 @@ def first_per_key(df: DataFrame, *, key: str = "orderid", rank: Sequence[str] =
     """Keep the first row per key under ``rank DESC`` (``row_number() = 1``).
 
     Planned with a partial WindowGroupLimit before the shuffle. Rows with a NULL key are
-    all kept, as the lag-based flag keeps them.
+    all kept (as the lag-based flag keeps them): each gets a partition of its own through
+    a per-row id, so they neither meet in one task nor need a second pass over ``df``.
     """
     order = rank_order(rank) + [F.col(c).desc() for c in tie_break]
-    w = Window.partitionBy(key).orderBy(*order)
-    keyed = (df.filter(F.col(key).isNotNull())
-             .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn"))
-    return keyed.unionByName(df.filter(F.col(key).isNull()))
+    nid = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
+    w = Window.partitionBy(key, "__nid").orderBy(*order)
+    return (df.withColumn("__nid", nid).withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") == 1).drop("__rn", "__nid"))
 
 
 def multi_attribution_orders(pairs: DataFrame, *, key: str = "orderid",
