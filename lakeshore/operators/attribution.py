@@ -3,20 +3,21 @@
 ``best_in_window`` returns, per order row, the campaign that ranks first (highest
 discount, then latest date, then highest id) among the campaigns of the same customer with
 ``campaign_ts <= order_ts <= campaign_ts + days``, *without* forming the order x campaign
-pairs. The window [t - W, t] (W = days) is cut at UTC day boundaries into
-
-* the part of the order's own day up to t            -> running max, day partition
-* the part of day d - days from t - W onwards        -> campaigns shifted by +W, reverse
-                                                        running max in the order's day
-* the whole days d - days + 1 .. d - 1               -> per-day maximum, spread to the
-                                                        following days, maximum again
-
-All three are evaluated in one window pass over (customer, day, split) partitions (split =
-one hour by default), so the work is linear in orders + campaigns, a busy customer is split
-by day and hour, and the largest group of raw rows a task holds is one customer-hour; the
-rest of the order's own day enters as per-hour maxima. "Ranks first" is the maximum of a struct whose leading fields
-are the ranking columns; in a struct NULL is the smallest value, which matches
-``ORDER BY ... DESC`` (NULLS LAST).
+pairs. With d the order's UTC day and h its hour, the window [t - W, t] (W = days) is cut
+into
+
+* campaigns of day d, hour h, at or before t       -> running max in (customer, d, h)
+* campaigns of day d - days, hour h, from t - W on -> campaigns moved forward by W,
+                                                      reverse running max in (customer, d, h)
+* everything else                                  -> per-(customer, day, hour) maxima:
+  earlier hours of day d, later hours of the moved day d - days, and whole days
+  d - days + 1 .. d - 1 (a range frame over the day number)
+
+The raw rows meet only in (customer, day, hour) partitions, so the work is linear in
+orders + campaigns and a busy customer is split by day and hour; the third part works on
+aggregated rows only (a few per customer-hour). "Ranks first" is the maximum of a struct
+whose leading fields are the ranking columns; in a struct NULL is the smallest value,
+which matches ``ORDER BY ... DESC`` (NULLS LAST).
 """
 
 from __future__ import annotations
@@ -80,49 +81,36 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
     raw = (c.select("__c", "__v", F.explode(copies).alias("__x"))
            .select("__c", F.col("__x.t").alias("__t"), "__v", F.col("__x.tag").alias("__tag"))
            .withColumn("__d", day_of(F.col("__t"))).withColumn("__h", sub(F.col("__t"))))
-    per_split = raw.groupBy("__c", "__d", "__h", "__tag").agg(F.max("__v").alias("__v"))
-
-    # whole days d - days + 1 .. d - 1: per-day maxima spread forward (aggregated rows only)
-    full = None
+    # One aggregation (partial before the shuffle) gives, per (customer, day, split): the
+    # best same-day campaign (tag 0), the best moved campaign (tag 2), and whether orders
+    # fall there (tag 1).
+    per_split = (raw.select("__c", "__d", "__h", "__tag", "__v")
+                 .unionByName(o.select("__c", "__d", "__h", F.lit(1).alias("__tag"), none_v))
+                 .groupBy("__c", "__d", "__h", "__tag").agg(F.max("__v").alias("__v")))
+    # For each (customer, day, split) holding orders, the best campaign outside that split:
+    # same-day campaigns of earlier splits, moved campaigns of later splits, and same-day
+    # campaigns of the whole days d - days + 1 .. d - 1 (a range frame over the day number).
+    # These rows are aggregates (at most 3 * day / split per customer and active day), so
+    # partitioning them by customer alone is bounded by the time span, not by the data.
+    # At equal split: moved (g=0) < order key (g=1) < same-day (g=2).
+    grid = (per_split.withColumn("__g", F.when(F.col("__tag") == 2, 0)
+                                 .when(F.col("__tag") == 1, 1).otherwise(2))
+            .repartition("__c"))
+    in_day = Window.partitionBy("__c", "__d").orderBy("__h", "__g")
+    others = [F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(
+                  in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+              F.max(F.when(F.col("__g") == 0, F.col("__v"))).over(
+                  in_day.rowsBetween(Window.currentRow, Window.unboundedFollowing))]
     if days >= 2:
-        daily = (per_split.filter(F.col("__tag") == 0)
-                 .groupBy("__c", F.col("__d").alias("__e")).agg(F.max("__v").alias("__v")))
-        full = (daily.withColumn("__d", F.explode(F.sequence(F.col("__e") + 1,
-                                                             F.col("__e") + days - 1)))
-                .groupBy("__c", "__d").agg(F.max("__v").alias("__v")))
-
-    if split_us < DAY_US:
-        # per (customer, day, split) maxima of both kinds, then, for each split that holds
-        # orders, the maximum over earlier splits (tag 0 rows) and later splits (tag 2 rows)
-        # grid order at equal split: moved (g=0) < order key (g=1) < same-day (g=2)
-        g = [per_split.select("__c", "__d", "__h", "__v",
-                              F.when(F.col("__tag") == 2, 0).otherwise(2).alias("__g")),
-             o.select("__c", "__d", "__h").distinct()
-             .select("__c", "__d", "__h", none_v, F.lit(1).alias("__g"))]
-        if full is not None:
-            g.append(full.select("__c", "__d", F.lit(None).cast("bigint").alias("__h"), "__v",
-                                 F.lit(3).alias("__g")))
-        grid = g[0]
-        for x in g[1:]:
-            grid = grid.unionByName(x)
-        gw = Window.partitionBy("__c", "__d").orderBy("__h", "__g")
-        before = F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(
-            gw.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        after = F.max(F.when(F.col("__g") == 0, F.col("__v"))).over(
-            gw.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-        whole_day = F.max(F.when(F.col("__g") == 3, F.col("__v"))).over(
-            gw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        outside = (grid.withColumn("__z", F.greatest(before, after, whole_day))
-                   .filter(F.col("__g") == 1).select("__c", "__d", "__h", F.col("__z").alias("__v")))
-    else:
-        outside = full.select("__c", "__d", F.lit(0).cast("bigint").alias("__h"), "__v") \
-            if full is not None else None
+        days_back = Window.partitionBy("__c").orderBy("__d").rangeBetween(-(days - 1), -1)
+        others.append(F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(days_back))
+    outside = (grid.withColumn("__z", F.greatest(*others)).filter(F.col("__g") == 1)
+               .select("__c", "__d", "__h", F.col("__z").alias("__v")))
 
     parts = [o.select("__c", "__d", "__h", "__t", F.lit(1).alias("__tag"), none_v, "__o"),
              raw.select("__c", "__d", "__h", "__t", "__tag", "__v", none_o)]
-    if outside is not None:
-        parts.append(outside.select("__c", "__d", "__h", F.lit(None).cast("bigint").alias("__t"),
-                                    F.lit(3).alias("__tag"), "__v", none_o))
+    parts.append(outside.select("__c", "__d", "__h", F.lit(None).cast("bigint").alias("__t"),
+                                F.lit(3).alias("__tag"), "__v", none_o))
     u = parts[0]
     for x in parts[1:]:
         u = u.unionByName(x)
@@ -133,9 +121,8 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
         return F.max(F.when(F.col("__tag") == tag, F.col("__v"))).over(w.rowsBetween(lo, hi))
 
     best = [pick(0, Window.unboundedPreceding, Window.currentRow),
-            pick(2, Window.currentRow, Window.unboundedFollowing)]
-    if outside is not None:
-        best.append(pick(3, Window.unboundedPreceding, Window.unboundedFollowing))
+            pick(2, Window.currentRow, Window.unboundedFollowing),
+            pick(3, Window.unboundedPreceding, Window.unboundedFollowing)]
     scored = (u.withColumn("__best", F.greatest(*best)).filter(F.col("__tag") == 1)
               .select("__o.*", "__best"))
     matched = scored.select(*[F.col(f"`{x}`") for x in ocols],

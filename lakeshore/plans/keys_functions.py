@@ -138,8 +138,8 @@ select orderid, strftime(transactiondate, '%Y-%m-%d %H:%M:%S') as ts_text,
 from orders_silver"""))
 def timestamp_text_roundtrip(spark, d):
     o = silver_layer(spark, d).orders
-    txt = T.ts_to_text("transactiondate")
-    return o.select("orderid", txt.alias("ts_text"), T.text_to_ts(txt).alias("ts_back"))
+    txt = T.ts_to_text("transactiondate", ntz=True)
+    return o.select("orderid", txt.alias("ts_text"), T.text_to_ts(txt, ntz=True).alias("ts_back"))
 
 
 @register("round_half_even", """

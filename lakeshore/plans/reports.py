@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import TimestampNTZType
+
+from ..functions.text import month_text
 from ..operators.joins import semi_join
 from ..operators.quality import dedup_rows, duplicate_keys, shared_values
 
@@ -15,7 +18,8 @@ def _attributed_amount() -> F.Column:
 
 def revenue_by_month_country(gold: DataFrame) -> DataFrame:
     """Order revenue per (year-month of the order, country), ordered by both."""
-    return (gold.groupBy(F.date_format("transactiondate", "yyyy-MM").alias("year_month"),
+    ntz = isinstance(gold.schema["transactiondate"].dataType, TimestampNTZType)
+    return (gold.groupBy(month_text("transactiondate", ntz).alias("year_month"),
                          F.col("country"))
             .agg(F.sum("amount").alias("order_revenue"))
             .orderBy("year_month", "country"))

@@ -36,6 +36,23 @@ def build_session(master: str | None = None, app: str = "lakeshore",
     return b.getOrCreate()
 
 
+def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Enough shuffle partitions that each holds about ``target_partition_bytes`` before AQE
+    coalesces (at least two waves of tasks), scan splits of the same size, and AQE's
+    advisory size matched to it, so sort and aggregation buffers fit executor memory and
+    spill only at the edges.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 

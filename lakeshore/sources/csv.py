@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
-from ..functions.text import TEXT_TS_FORMAT, ts_to_text
+from ..functions.text import TEXT_TS_FORMAT, text_to_ts, ts_to_text
 
 # Fixed values of the landing format.
 SEP = "|"
@@ -61,9 +61,8 @@ def to_typed(df: DataFrame, schema: StructType, lenient: bool = False,
         c = F.col(f"`{src}`")
         if isinstance(f.dataType, (TimestampType, TimestampNTZType)) and \
                 isinstance(df.schema[src].dataType, StringType):
-            t = F.try_to_timestamp(c, F.lit(TEXT_TS_FORMAT)) if lenient \
-                else F.to_timestamp(c, TEXT_TS_FORMAT)
-            out.append(t.cast(f.dataType).alias(f.name))
+            t = text_to_ts(c, ntz=isinstance(f.dataType, TimestampNTZType), lenient=lenient)
+            out.append(t.alias(f.name))
         else:
             out.append((c.try_cast(f.dataType) if lenient else c.cast(f.dataType)).alias(f.name))
     return df.select(*out, *carry)
@@ -71,7 +70,8 @@ def to_typed(df: DataFrame, schema: StructType, lenient: bool = False,
 
 def as_landing_text(df: DataFrame) -> DataFrame:
     """Timestamps rendered in the landing text format, other columns unchanged."""
-    return df.select(*[ts_to_text(f.name).alias(f.name)
+    return df.select(*[ts_to_text(f.name, ntz=isinstance(f.dataType, TimestampNTZType))
+                       .alias(f.name)
                        if isinstance(f.dataType, (TimestampType, TimestampNTZType))
                        else F.col(f"`{f.name}`") for f in df.schema.fields])
 

@@ -231,3 +231,18 @@ def test_first_per_key_uses_window_group_limit(spark):
                                "orderid int, discount double, marketingdate timestamp_ntz, marketingid int")
     plan = first_per_key(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_ntz_text_is_zone_free(spark):
+    from lakeshore.functions import text as T
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("select timestamp_ntz'2024-03-10 02:30:00.5' as t, "
+                       "'2024-03-10 02:30:00' as s, '2024-02-30 00:00:00' as bad")
+        r = df.select(T.ts_to_text("t").alias("a"), T.month_text("t").alias("m"),
+                      T.text_to_ts("s").alias("b"), T.text_to_ts("bad").alias("c")).first()
+        assert r.a == "2024-03-10 02:30:00" and r.m == "2024-03"
+        assert r.b == dt.datetime(2024, 3, 10, 2, 30) and r.c is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
