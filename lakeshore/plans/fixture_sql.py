@@ -11,8 +11,9 @@ def bronze_ctes(with_nulls: bool = False, string_type: str = "varchar") -> str:
     email = ("concat('u', cast(case when c_custkey % 50 = 1 then c_custkey - 1 else c_custkey end "
              f"as {string_type}), '@example.com')")
     cust_ref = "user_id"
-    if with_nulls:
+    if with_nulls and with_nulls != "refs":
         email = f"case when c_custkey % 97 = 0 then null else {email} end"
+    if with_nulls:
         cust_ref = "case when event_id % 97 = 0 then null else user_id end"
     return f"""
 cust0 as (

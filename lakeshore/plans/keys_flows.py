@@ -52,6 +52,13 @@ def gold_attribution_with_nulls(spark, d):
     return G.gold_attribution(silver_layer(spark, d, with_nulls=True), 7)
 
 
+@register("gold_attribution_null_refs",
+          with_flow("select * from gold", gold=True, with_nulls="refs"))
+def gold_attribution_null_refs(spark, d):
+    """Orders and campaigns with NULL customer references (never attributed, never in silver)."""
+    return G.gold_attribution(silver_layer(spark, d, with_nulls="refs"), 7)
+
+
 # ---- J2, W1, W2, C6: attribution internals ------------------------------------------------
 
 @register("interval_join_left", with_flow("select * from join_data", gold=True))
@@ -402,3 +409,31 @@ def audit_silver_keys(spark, d):
                                    ("marketing_silver", s.marketing, "marketingid"),
                                    ("customers_silver", s.customers, "clientid"))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---- SQL front: report statements as text over the registered layers ------------------------
+
+def _sql_layers(spark, d):
+    from .sql_views import register_layers
+    register_layers(spark, bronze(spark, d), silver_layer(spark, d))
+
+
+@register("sql_revenue_by_month_country", with_flow(
+    """select strftime(transactiondate, '%Y-%m') as year_month, country,
+              cast(sum(amount) as bigint) as order_revenue
+       from gold group by 1, 2 order by 1, 2""", gold=True))
+def sql_revenue_by_month_country(spark, d):
+    from .sql_views import REVENUE_BY_MONTH_COUNTRY
+    _sql_layers(spark, d)
+    return spark.sql(REVENUE_BY_MONTH_COUNTRY)
+
+
+@register("sql_marketing_effectiveness", with_flow(
+    f"""select country, cast({_ATTR} as bigint) as marketing_revenue,
+          round(cast(cast({_ATTR} as float) as double) / sum(amount), 6) as marketing_share
+        from gold group by 1 order by 2""", gold=True))
+def sql_marketing_effectiveness(spark, d):
+    from .sql_views import MARKETING_EFFECTIVENESS
+    _sql_layers(spark, d)
+    r = spark.sql(MARKETING_EFFECTIVENESS)
+    return r.withColumn("marketing_share", F.round("marketing_share", 6))

@@ -1,7 +1,9 @@
 """Mapping of the driver's test tables onto the three landing entities.
 
 The test tables carry no duplicates, NULLs or orphan keys, so the mapping plants them
-deterministically (the same rules are written as SQL in ``lakeshore.plans.fixture_sql``):
+deterministically (the same rules are written as SQL in ``lakeshore.plans.fixture_sql``).
+``with_nulls=True`` blanks emails and customer references, ``with_nulls="refs"`` only the
+references:
 every 25th customer is repeated, customers ``50k`` and ``50k+1`` share an email, every 21st
 purchase is repeated. The NULL variant also blanks ``email`` where ``c_custkey % 97 = 0`` and
 the customer reference where ``event_id % 97 = 0``.
@@ -29,7 +31,7 @@ def customers_base(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -
     k = F.col("c_custkey")
     email = F.concat(F.lit("u"), F.when(k % 50 == 1, k - 1).otherwise(k).cast("string"),
                      F.lit("@example.com"))
-    if with_nulls:
+    if with_nulls and with_nulls != "refs":
         email = _null_where(k % 97 == 0, email)
     channel = (F.when(k % 10 < 3, F.lit("Web")).when(k % 10 < 5, F.lit("Call Center"))
                .otherwise(F.lit("App")))
