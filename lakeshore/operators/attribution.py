@@ -143,10 +143,27 @@ def double_attribution_flag(pairs: DataFrame, *, key: str = "orderid",
 
     1 on every row but the first of its key; 0 on the first row and on every row whose key
     is NULL (the comparison is NULL there).
+
+    A window over the key would hold all pairs of one order in one task, and an order of a
+    busy customer can have very many. Instead the first row per key is found by a partial +
+    final aggregate (the maximum of the row as a struct led by the ranking columns), joined
+    back on the key (AQE may split a heavy key), and only exact copies of that first row meet
+    in a window, to give the flag 0 to one of them: every other row gets a partition of its
+    own through a per-row salt.
     """
-    w = Window.partitionBy(key).orderBy(*rank_order(rank))
-    return pairs.withColumn(
-        name, F.when(F.lag(F.col(key), 1).over(w) == F.col(key), 1).otherwise(0))
+    cols = pairs.columns
+    row = _rank_struct(rank, cols)
+    best = (pairs.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__bk"))
+            .agg(F.max(row).alias("__best")))
+    j = pairs.join(best, F.col(key) == F.col("__bk"), "left")
+    is_best = F.coalesce(row.eqNullSafe(F.col("__best")), F.lit(False))
+    j = (j.withColumn("__isb", is_best)
+         .withColumn("__salt", F.when(F.col("__isb"), F.lit(0))
+                     .otherwise(F.monotonically_increasing_id() + 1)))
+    w = Window.partitionBy(key, "__salt").orderBy(*rank_order(rank))
+    flag = (F.when(F.col(key).isNull(), 0)
+            .when(F.col("__isb") & (F.row_number().over(w) == 1), 0).otherwise(1))
+    return j.withColumn(name, flag).select(*[F.col(f"`{c}`") for c in cols], name)
 
 
 def first_per_key(df: DataFrame, *, key: str = "orderid", rank: Sequence[str] = RANK,

@@ -246,3 +246,15 @@ def test_ntz_text_is_zone_free(spark):
         assert r.b == dt.datetime(2024, 3, 10, 2, 30) and r.c is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_flag_gives_zero_to_one_of_identical_first_rows(spark):
+    df = spark.createDataFrame(
+        [(1, 0.5, T(2024, 1, 1), 7), (1, 0.5, T(2024, 1, 1), 7), (1, 0.1, T(2024, 1, 1), 8),
+         (2, None, None, None), (None, 0.3, T(2024, 1, 1), 9), (None, 0.2, T(2024, 1, 1), 9)],
+        "orderid int, discount double, marketingdate timestamp_ntz, marketingid int")
+    flags = sorted((r.orderid, r.marketingid, r.double_attribution)
+                   for r in double_attribution_flag(df).collect() if r.orderid is not None)
+    assert flags == [(1, 7, 0), (1, 7, 1), (1, 8, 1), (2, None, 0)]
+    nulls = [r.double_attribution for r in double_attribution_flag(df).collect() if r.orderid is None]
+    assert nulls == [0, 0]
