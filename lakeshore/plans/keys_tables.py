@@ -424,3 +424,26 @@ def incremental_silver_merge(spark, d):
     glob = f"{root}/landing/orders_00*.csv/*.csv"
     ingest_each_batch(spark, glob, schema, f"{root}/_ckpt", apply, max_files_per_trigger=1)
     return table.read()
+
+
+@register("catalog_tables", with_flow("""
+select 'customers_bronze' as table_name, count(*) as num_rows from customers_bronze
+union all select 'orders_bronze', count(*) from orders_bronze
+union all select 'marketing_bronze', count(*) from marketing_bronze
+union all select 'customers_silver', count(*) from customers_silver
+union all select 'orders_silver', count(*) from orders_silver
+union all select 'marketing_silver', count(*) from marketing_silver
+union all select 'gold_order_attribution', count(*) from gold""", gold=True))
+def catalog_tables(spark, d):
+    """The job's layers registered in a database of the session catalog (K7) and read back
+    by table name."""
+    import uuid
+    run = P.run_pipeline(spark, d)
+    db = f"lakeshore_{uuid.uuid4().hex[:8]}"
+    names = P.register_catalog(spark, run, db)
+    parts = [spark.table(f"{db}.{n}").agg(F.lit(n).alias("table_name"),
+                                          F.count(F.lit(1)).alias("num_rows")) for n in names]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out

@@ -139,3 +139,26 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None, days
                            days)
     g.write.mode("overwrite").parquet(gold_path)
     return PipelineRun(root, bronze, silver, spark.read.parquet(gold_path))
+
+
+def register_catalog(spark: SparkSession, run: PipelineRun, database: str) -> list[str]:
+    """``CREATE SCHEMA IF NOT EXISTS`` + ``USE`` and one external Parquet table per written
+    layer (bronze / silver current version / gold), all located in the run's folder."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{run.root}/{database}.db'")
+    spark.sql(f"USE `{database}`")
+    tables = {}
+    for ent, df in run.bronze.items():
+        tables[f"{ent}_bronze"] = df
+    for ent, df in run.silver.items():
+        tables[f"{ent}_silver"] = df
+    tables["gold_order_attribution"] = run.gold
+    for name, df in tables.items():
+        paths = df.inputFiles()
+        location = paths[0].rsplit("/", 1)[0] if paths else None
+        if location is None:
+            continue
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.catalog.createTable(f"{database}.{name}", path=location, source="parquet",
+                                  schema=df.schema)
+    spark.sql("USE default")
+    return sorted(tables)
