@@ -310,3 +310,23 @@ def pandas_udf_flag(spark, d):
 def double_attribution_lag_only(spark, d):
     st = double_attribution_flag(G.attribution_pairs(silver_layer(spark, d), 7))
     return st.select("orderid", "marketingid", "double_attribution")
+
+
+@register("bootstrap_duplicates_sampled")
+def bootstrap_duplicates_sampled(spark, d):
+    """Random repeats: a 4 % sample with replacement (fixed seed) appended (rows-only)."""
+    return O.append_sampled_repeats(fixtures.customers_base(spark, d), 0.04, seed=310)
+
+
+@register("sql_named_parameter", with_flow("""
+select country, count(*) as orders_in_window from gold
+where marketingdate is not null and transactiondate <= marketingdate + interval '3' day
+group by country""", gold=True))
+def sql_named_parameter(spark, d):
+    """A run-time parameter bound by name in SQL text (``:days``), over the gold view."""
+    from .sql_views import register_layers
+    register_layers(spark, bronze(spark, d), silver_layer(spark, d))
+    return spark.sql("""select country, count(*) as orders_in_window from gold_order_attribution
+        where marketingdate is not null
+          and transactiondate <= marketingdate + make_dt_interval(:days)
+        group by country""", args={"days": 3})
