@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import DAY_US, day_of, epoch_micros
 
@@ -63,11 +64,11 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
             if split_us < DAY_US else F.lit(0).cast("bigint")
 
     ok = F.col(order_key).isNotNull() & F.col(order_ts).isNotNull()
-    o = (orders.filter(ok)
-         .select(F.col(order_key).alias("__c"), epoch_micros(orders, order_ts).alias("__t"),
-                 F.struct(*[F.col(f"`{c}`") for c in ocols]).alias("__o"))
-         .withColumn("__d", day_of(F.col("__t"))).withColumn("__h", sub(F.col("__t"))))
-    otype = o.schema["__o"].dataType
+    o_us = epoch_micros(orders, order_ts)
+    o = orders.filter(ok).select(F.col(order_key).alias("__c"), o_us.alias("__t"),
+                                 F.struct(*[F.col(f"`{c}`") for c in ocols]).alias("__o"),
+                                 day_of(o_us).alias("__d"), sub(o_us).alias("__h"))
+    otype = T.StructType([T.StructField(f.name, f.dataType, True) for f in orders.schema])
     none_o = F.lit(None).cast(otype).alias("__o")
     none_v = F.lit(None).cast(vtype).alias("__v")
 
@@ -78,9 +79,10 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
     # (both copies from one scan)
     copies = F.array(F.struct(F.col("__t").alias("t"), F.lit(0).alias("tag")),
                      F.struct((F.col("__t") + F.lit(width)).alias("t"), F.lit(2).alias("tag")))
+    xt = F.col("__x.t")
     raw = (c.select("__c", "__v", F.explode(copies).alias("__x"))
-           .select("__c", F.col("__x.t").alias("__t"), "__v", F.col("__x.tag").alias("__tag"))
-           .withColumn("__d", day_of(F.col("__t"))).withColumn("__h", sub(F.col("__t"))))
+           .select("__c", xt.alias("__t"), "__v", F.col("__x.tag").alias("__tag"),
+                   day_of(xt).alias("__d"), sub(xt).alias("__h")))
     # One aggregation (partial before the shuffle) gives, per (customer, day, split): the
     # best same-day campaign (tag 0), the best moved campaign (tag 2), and whether orders
     # fall there (tag 1).
@@ -93,8 +95,8 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
     # These rows are aggregates (at most 3 * day / split per customer and active day), so
     # partitioning them by customer alone is bounded by the time span, not by the data.
     # At equal split: moved (g=0) < order key (g=1) < same-day (g=2).
-    grid = (per_split.withColumn("__g", F.when(F.col("__tag") == 2, 0)
-                                 .when(F.col("__tag") == 1, 1).otherwise(2))
+    grid = (per_split.select("*", F.when(F.col("__tag") == 2, 0)
+                             .when(F.col("__tag") == 1, 1).otherwise(2).alias("__g"))
             .repartition("__c"))
     in_day = Window.partitionBy("__c", "__d").orderBy("__h", "__g")
     others = [F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(
@@ -104,8 +106,8 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
     if days >= 2:
         days_back = Window.partitionBy("__c").orderBy("__d").rangeBetween(-(days - 1), -1)
         others.append(F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(days_back))
-    outside = (grid.withColumn("__z", F.greatest(*others)).filter(F.col("__g") == 1)
-               .select("__c", "__d", "__h", F.col("__z").alias("__v")))
+    outside = (grid.select("__c", "__d", "__h", "__g", F.greatest(*others).alias("__v"))
+               .filter(F.col("__g") == 1).drop("__g"))
 
     parts = [o.select("__c", "__d", "__h", "__t", F.lit(1).alias("__tag"), none_v, "__o"),
              raw.select("__c", "__d", "__h", "__t", "__tag", "__v", none_o)]
@@ -123,10 +125,9 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
     best = [pick(0, Window.unboundedPreceding, Window.currentRow),
             pick(2, Window.currentRow, Window.unboundedFollowing),
             pick(3, Window.unboundedPreceding, Window.unboundedFollowing)]
-    scored = (u.withColumn("__best", F.greatest(*best)).filter(F.col("__tag") == 1)
-              .select("__o.*", "__best"))
-    matched = scored.select(*[F.col(f"`{x}`") for x in ocols],
-                            *[F.col(f"__best.`{x}`").alias(x) for x in camp_cols])
+    scored = u.select("__tag", "__o", F.greatest(*best).alias("__best")).filter(F.col("__tag") == 1)
+    matched = scored.select(*[F.col("__o").getField(x).alias(x) for x in ocols],
+                            *[F.col("__best").getField(x).alias(x) for x in camp_cols])
     unmatched = orders.filter(~ok).select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in campaigns.schema])
     return matched.unionByName(unmatched)
@@ -177,7 +178,7 @@ def first_per_key(df: DataFrame, *, key: str = "orderid", rank: Sequence[str] =
     order = rank_order(rank) + [F.col(c).desc() for c in tie_break]
     nid = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
     w = Window.partitionBy(key, "__nid").orderBy(*order)
-    return (df.withColumn("__nid", nid).withColumn("__rn", F.row_number().over(w))
+    return (df.select("*", nid.alias("__nid")).select("*", F.row_number().over(w).alias("__rn"))
             .filter(F.col("__rn") == 1).drop("__rn", "__nid"))
 
 
