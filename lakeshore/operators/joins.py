@@ -3,8 +3,8 @@
 Every join here is an equi-join on a key that Spark can hash-partition; AQE decides at run
 time whether a side is small enough to broadcast (its measured size against
 ``spark.sql.autoBroadcastJoinThreshold``) and splits skewed partitions of the streamed side.
-Rows whose join key is NULL can never match, so they are routed around the shuffle instead
-of being hashed into one partition.
+In the interval join, rows whose key or time is NULL can never match and are routed around
+the shuffle instead of being hashed into one partition.
 """
 
 from __future__ import annotations
@@ -113,34 +113,39 @@ def band_join_left(left: DataFrame, right: DataFrame, **kw) -> DataFrame:
 
 
 def band_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
-              left_ts: str, right_ts: str, days: int, how: str = "left") -> DataFrame:
+              left_ts: str, right_ts: str, days: int, how: str = "left",
+              bucket_days: int | None = None) -> DataFrame:
     """``left [LEFT] JOIN right ON left_key = right_key AND
     left_ts BETWEEN right_ts AND right_ts + INTERVAL days DAY`` (both ends closed).
 
     Spark would run this as a sort-merge join on the key alone with the interval as a
-    residual predicate, i.e. all pairs of a key are compared. Here each right row is
-    copied into the ``days + 1`` day buckets its interval touches and the join is on
-    (key, bucket): a key is split into day buckets (no hot partition for a busy key), and
-    only pairs that share a bucket are compared. Buckets are UTC days of epoch micros, so
-    the result does not depend on the session time zone. Filter the right side before
-    calling (a predicate on the right side in ON keeps every left row).
+    residual predicate, i.e. all pairs of a key are compared. Here time is cut into buckets
+    of ``bucket_days`` (default: the window length, at least one day); each right row is
+    copied into the buckets its interval touches (two when the bucket is as wide as the
+    window) and the join is on (key, bucket): a busy key is split by time, and only pairs
+    that share a bucket are compared. Buckets are UTC-aligned in epoch micros, so the result
+    does not depend on the session time zone. Filter the right side before calling (a
+    predicate on the right side in ON keeps every left row).
     """
     if days < 0:
         raise ValueError("days must be >= 0")
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
     width = days * DAY_US
+    bucket = max(1, bucket_days if bucket_days is not None else days) * DAY_US
     l_us, r_us = epoch_micros(left, left_ts), epoch_micros(right, right_ts)
+
+    def bk(us: Column) -> Column:
+        return ((us - F.pmod(us, F.lit(bucket))) / F.lit(bucket)).cast("bigint")
+
     rb = (right.filter(F.col(right_key).isNotNull() & F.col(right_ts).isNotNull())
-          .withColumn("__rus", r_us)
-          .withColumn("__bk", F.explode(F.sequence(
-              day_of(F.col("__rus")), day_of(F.col("__rus") + F.lit(width))))))
+          .select("*", r_us.alias("__rus"),
+                  F.explode(F.sequence(bk(r_us), bk(r_us + F.lit(width)))).alias("__bk")))
     matchable = F.col(left_key).isNotNull() & F.col(left_ts).isNotNull()
-    lb = left.filter(matchable).withColumn("__lus", l_us) \
-        .withColumn("__bk", day_of(F.col("__lus")))
+    lb = left.filter(matchable).select("*", l_us.alias("__lus"), bk(l_us).alias("__bk"))
     cond = [F.col(f"l.{left_key}") == F.col(f"r.{right_key}"),
             F.col("l.__bk") == F.col("r.__bk"),
             F.col("l.__lus").between(F.col("r.__rus"), F.col("r.__rus") + F.lit(width))]
-    if how not in ("left", "inner"):
-        raise ValueError("how must be 'left' or 'inner'")
     joined = (lb.alias("l").join(rb.alias("r"), cond, how)
               .select(*[F.col(f"l.`{c}`") for c in left.columns],
                       *[F.col(f"r.`{c}`") for c in right.columns]))

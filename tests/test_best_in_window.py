@@ -62,3 +62,7 @@ def test_random_against_brute_force(spark, seed, days, split):
     want = sum(1 for x in orders for c in camps
                if c[4] == x[4] and c[3] == 1 and c[1] <= x[1] <= c[1] + w)
     assert pairs.count() == want
+    daily = band_join(o, m, left_key="customerid", right_key="targetedcustomerid",
+                      left_ts="transactiondate", right_ts="marketingdate", days=days, how="inner",
+                      bucket_days=1)
+    assert daily.count() == want
