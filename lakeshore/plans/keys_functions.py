@@ -114,8 +114,8 @@ def clean_text_columns(spark, d):
     lengths before / after and a digest of the cleaned text."""
     docs = fixtures.table(spark, d, "documents")
     t = T.clean_text("text")
-    return docs.select("doc_id", F.length("text").alias("n_chars_in"),
-                       F.length(t).alias("n_chars_out"), F.md5(t).alias("text_md5"))
+    return docs.select("doc_id", F.length("text").cast("bigint").alias("n_chars_in"),
+                       F.length(t).cast("bigint").alias("n_chars_out"), F.md5(t).alias("text_md5"))
 
 
 @register("prefixed_keys", with_flow("""

@@ -165,14 +165,15 @@ join (select 0 as v, 0 as num_rows union all select 1, count(*) from v1
 
 
 @register("table_history", _HISTORY_SQL.replace("select * from (values",
-                                                "select version, operation, cast(num_rows as bigint) "
-                                                "as num_rows from (values", 1))
+                                                "select cast(version as bigint) as version, operation, "
+                                                "cast(num_rows as bigint) as num_rows from (values", 1))
 def table_history(spark, d):
     return dml_table(spark, d).history().select("version", "operation", "num_rows")
 
 
 @register("vacuum_dry_run", _HISTORY_SQL.replace(
-    "select * from (values", "select version, cast(num_rows as bigint) as num_rows from (values", 1)
+    "select * from (values",
+    "select cast(version as bigint) as version, cast(num_rows as bigint) as num_rows from (values", 1)
     + " where h.version < 6")
 def vacuum_dry_run(spark, d):
     """``VACUUM t RETAIN 0 HOURS DRY RUN`` (check disabled): the versions whose files would
@@ -185,7 +186,8 @@ def vacuum_dry_run(spark, d):
 
 @register("vacuum_apply", _HISTORY_SQL.replace(
     "select * from (values",
-    "select version, operation, version < 6 as vacuumed, version = 6 as readable from (values", 1))
+    "select cast(version as bigint) as version, operation, version < 6 as vacuumed, "
+    "version = 6 as readable from (values", 1))
 def vacuum_apply(spark, d):
     """After ``VACUUM`` the history still lists every version; only the current one reads."""
     t = dml_table(spark, d)
