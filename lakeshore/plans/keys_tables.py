@@ -217,10 +217,9 @@ def table_detail(spark, d):
 
 # ---- S1 - S3, K1 - K8: files and tables --------------------------------------------------
 
-_TEXT_SQL = with_flow("""select clientid, email, country, channel,
+_TEXT_SQL = with_flow("""select cast(clientid as varchar) as clientid, email, country, channel,
     strftime(creation_date, '%Y-%m-%d %H:%M:%S') as creation_date from customers_bronze""",
                       silver=False)
-_TEXT_SQL = _TEXT_SQL.replace("select clientid, email", "select cast(clientid as varchar) as clientid, email", 1)
 
 
 def _landed_customers(spark, d):

@@ -47,8 +47,23 @@ def canon(cols, rows):
     return [cols[i] for i in order], sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+                 "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_differences(df, con, sql):
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (spark_types.get(c), duck_types.get(c)) for c in set(spark_types) | set(duck_types)
+            if spark_types.get(c) != duck_types.get(c)}
+
+
 def compare(df, con, sql):
     s_cols = df.columns
+    types = type_differences(df, con, sql)
     s_rows = [tuple(r) for r in df.collect()]
     rel = con.execute(sql)
     d_cols = [d[0] for d in rel.description]
@@ -56,6 +71,8 @@ def compare(df, con, sql):
     sc, sr = canon(s_cols, s_rows)
     dc, dr = canon(d_cols, d_rows)
     problems = []
+    if types:
+        problems.append(f"column types differ (spark, duckdb): {types}")
     if sc != dc:
         problems.append(f"columns differ: spark={sc} duckdb={dc}")
     if len(sr) != len(dr):
