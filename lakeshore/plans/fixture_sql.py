@@ -7,14 +7,17 @@ operators are checked against. Identifiers and functions are common to DuckDB an
 from __future__ import annotations
 
 
-def bronze_ctes(with_nulls: bool = False, string_type: str = "varchar") -> str:
+def bronze_ctes(with_nulls: bool = False, string_type: str = "varchar",
+                hot_customer: int | None = None) -> str:
     email = ("concat('u', cast(case when c_custkey % 50 = 1 then c_custkey - 1 else c_custkey end "
              f"as {string_type}), '@example.com')")
     cust_ref = "user_id"
     if with_nulls and with_nulls != "refs":
         email = f"case when c_custkey % 97 = 0 then null else {email} end"
+    if hot_customer is not None:
+        cust_ref = f"case when event_id % 3 = 0 then cast({hot_customer} as bigint) else user_id end"
     if with_nulls:
-        cust_ref = "case when event_id % 97 = 0 then null else user_id end"
+        cust_ref = f"case when event_id % 97 = 0 then null else {cust_ref} end"
     return f"""
 cust0 as (
   select c_custkey as clientid,
@@ -71,9 +74,9 @@ gold as (
 
 
 def with_flow(select: str, *, silver: bool = True, gold: bool = False, days: int = 7,
-              with_nulls: bool = False, extra: str = "") -> str:
+              with_nulls: bool = False, extra: str = "", hot_customer: int | None = None) -> str:
     """``with <bronze>[, <silver>][, <gold>][, extra] <select>``."""
-    parts = [bronze_ctes(with_nulls)]
+    parts = [bronze_ctes(with_nulls, hot_customer=hot_customer)]
     if silver or gold:
         parts.append(SILVER_CTES)
     if gold:

@@ -59,6 +59,37 @@ def gold_attribution_null_refs(spark, d):
     return G.gold_attribution(silver_layer(spark, d, with_nulls="refs"), 7)
 
 
+# Fixed value: the customer that receives every third event in the skewed variant (its email
+# is not shared, so it stays in silver).
+HOT_CUSTOMER = 2
+
+
+@register("gold_attribution_hot_customer",
+          with_flow("select * from gold", gold=True, hot_customer=HOT_CUSTOMER))
+def gold_attribution_hot_customer(spark, d):
+    """Gold when one customer holds a third of all orders and campaigns."""
+    return G.gold_attribution(silver_layer(spark, d, hot_customer=HOT_CUSTOMER), 7)
+
+
+@register("revenue_by_month_country_hot_customer", with_flow(
+    """select strftime(transactiondate, '%Y-%m') as year_month, country,
+              cast(sum(amount) as bigint) as order_revenue
+       from gold group by 1, 2 order by 1, 2""", gold=True, hot_customer=HOT_CUSTOMER))
+def revenue_by_month_country_hot_customer(spark, d):
+    return R.revenue_by_month_country(
+        G.gold_attribution(silver_layer(spark, d, hot_customer=HOT_CUSTOMER), 7))
+
+
+@register("multi_attribution_orders_hot_customer", with_flow(
+    """select orderid, count(distinct marketingid) as m_rec from staging_01
+       where marketingid is not null group by orderid having count(distinct marketingid) > 1""",
+    gold=True, hot_customer=HOT_CUSTOMER))
+def multi_attribution_orders_hot_customer(spark, d):
+    """Distinct campaigns per order over all pairs, with the hot customer's many pairs."""
+    s = silver_layer(spark, d, hot_customer=HOT_CUSTOMER)
+    return attr.multi_attribution_orders(G.attribution_pairs(s, 7))
+
+
 # ---- J2, W1, W2, C6: attribution internals ------------------------------------------------
 
 @register("interval_join_left", with_flow("select * from join_data", gold=True))

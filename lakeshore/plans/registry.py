@@ -25,8 +25,9 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> fixtures.Bronze:
-    return fixtures.bronze(spark, sf_dir, with_nulls)
+def bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False,
+           hot_customer: int | None = None) -> fixtures.Bronze:
+    return fixtures.bronze(spark, sf_dir, with_nulls, hot_customer)
 
 
 class SilverLayer:
@@ -38,8 +39,8 @@ class SilverLayer:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, with_nulls: bool = False,
-                 materialized: bool = True):
-        self._b = bronze(spark, sf_dir, with_nulls)
+                 materialized: bool = True, hot_customer: int | None = None):
+        self._b = bronze(spark, sf_dir, with_nulls, hot_customer)
         self._keep = (lambda df, name: materialize(df, name)) if materialized \
             else (lambda df, name: df)
         self._cache: dict = {}
@@ -64,8 +65,8 @@ class SilverLayer:
 
 
 def silver_layer(spark: SparkSession, sf_dir: str, with_nulls: bool = False,
-                 materialized: bool = True) -> SilverLayer:
-    return SilverLayer(spark, sf_dir, with_nulls, materialized)
+                 materialized: bool = True, hot_customer: int | None = None) -> SilverLayer:
+    return SilverLayer(spark, sf_dir, with_nulls, materialized, hot_customer)
 
 
 def gold_table(spark: SparkSession, sf_dir: str, days: int = 7) -> DataFrame:

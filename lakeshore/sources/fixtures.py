@@ -52,9 +52,18 @@ def customers_bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False)
     return repeat_where(customers_base(spark, sf_dir, with_nulls), F.col("clientid") % 25 == 0)
 
 
-def orders_base(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def _customer_ref(with_nulls, hot_customer: int | None) -> Column:
     cust = F.col("user_id")
+    if hot_customer is not None:
+        # every third event goes to one customer: a key holding a third of all rows
+        cust = F.when(F.col("event_id") % 3 == 0, F.lit(hot_customer).cast("bigint")).otherwise(cust)
+    return cust
+
+
+def orders_base(spark: SparkSession, sf_dir: str, with_nulls: bool = False,
+                hot_customer: int | None = None) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    cust = _customer_ref(with_nulls, hot_customer)
     if with_nulls:
         cust = _null_where(F.col("event_id") % 97 == 0, cust)
     return (ev.filter(F.col("event_type") == "purchase")
@@ -63,13 +72,16 @@ def orders_base(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> D
                     F.floor("value").cast("int").alias("amount"), cust.alias("customerid")))
 
 
-def orders_bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
-    return repeat_where(orders_base(spark, sf_dir, with_nulls), F.col("orderid") % 21 == 0)
+def orders_bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False,
+                  hot_customer: int | None = None) -> DataFrame:
+    return repeat_where(orders_base(spark, sf_dir, with_nulls, hot_customer),
+                        F.col("orderid") % 21 == 0)
 
 
-def marketing_bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
+def marketing_bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False,
+                     hot_customer: int | None = None) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    cust = F.col("user_id")
+    cust = _customer_ref(with_nulls, hot_customer)
     if with_nulls:
         cust = _null_where(F.col("event_id") % 97 == 0, cust)
     return (ev.filter(F.col("event_type").isin("click", "view"))
@@ -86,7 +98,8 @@ class Bronze:
     marketing: DataFrame
 
 
-def bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> Bronze:
+def bronze(spark: SparkSession, sf_dir: str, with_nulls: bool = False,
+           hot_customer: int | None = None) -> Bronze:
     return Bronze(customers_bronze(spark, sf_dir, with_nulls),
-                  orders_bronze(spark, sf_dir, with_nulls),
-                  marketing_bronze(spark, sf_dir, with_nulls))
+                  orders_bronze(spark, sf_dir, with_nulls, hot_customer),
+                  marketing_bronze(spark, sf_dir, with_nulls, hot_customer))
