@@ -258,3 +258,13 @@ def test_flag_gives_zero_to_one_of_identical_first_rows(spark):
     assert flags == [(1, 7, 0), (1, 7, 1), (1, 8, 1), (2, None, 0)]
     nulls = [r.double_attribution for r in double_attribution_flag(df).collect() if r.orderid is None]
     assert nulls == [0, 0]
+
+
+def test_merge_upsert_several_columns_no_insert(spark):
+    tgt = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (2, "b2", 21)],
+                                "k int, s string, n int")
+    src = spark.createDataFrame([(2, "z", 99), (3, "new", 3)], "k int, s string, n int")
+    out = X.merge_upsert(tgt, src, "k", set_cols={"s": "s", "n": "n"},
+                         target_cond=F.col("n") > 20, insert=False)
+    # only the target row meeting the condition changes; the unmatched source row is not added
+    assert rows(out) == sorted([(1, "a", 10), (2, "b", 20), (2, "z", 99)], key=repr)
