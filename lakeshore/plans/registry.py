@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import materialize
+from ..session import materialize, ship_package
 from ..sources import fixtures
 from . import gold, silver
 
@@ -18,7 +19,13 @@ def register(name: str, oracle: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise KeyError(f"duplicate query key {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

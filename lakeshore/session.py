@@ -87,3 +87,28 @@ def materialize(df, name: str):
     df.write.mode("overwrite").parquet(path)
     # the schema is known: no footer pass to infer it
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lakeshore`` importable in the executors' Python workers (once per context).
+
+    Functions sent to workers (``mapInPandas``, pandas UDFs) may refer to library code; the
+    package is zipped on the driver and added with ``addPyFile``, so Spark distributes it to
+    every executor, as ``--py-files`` would.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_lakeshore_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="lakeshore-pkg-"), "lakeshore.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    sc._lakeshore_shipped = True
