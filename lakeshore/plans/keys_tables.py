@@ -448,3 +448,11 @@ def catalog_tables(spark, d):
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
+
+
+@register("table_detail_exact", dml_sql(
+    "select 'parquet' as format, (select count(*) from v3) as num_rows, "
+    "cast(6 as integer) as version"))
+def table_detail_exact(spark, d):
+    """The deterministic part of ``DESCRIBE DETAIL`` after the script (current = restored v3)."""
+    return dml_table(spark, d).detail().select("format", "num_rows", "version")
