@@ -31,6 +31,7 @@ from .common import global_rank, table
 LANES, PER_LANE = 8, 8
 SAMPLES = LANES * PER_LANE
 GRID = 1024
+WIDTH = 4
 SPACE = r"[\x20\x09-\x0D]+"
 KEY = ["k1", "k2"]
 
@@ -62,7 +63,7 @@ def _sample(term: Column, log_weight: Column, sample: Column, r_grid: Column, c_
 
 def signatures(texts: DataFrame, keys: list[str], part: str = "part", text: str = "text",
                copies: Column | None = None) -> DataFrame:
-    """``keys, part, lanes``: the samples of each text, as an array of hexadecimal strings.
+    """``keys, part, samples``: the samples of each text, ``WIDTH`` hexadecimal digits each.
 
     ``copies`` divides the counts where a join has repeated a text's rows. If ``texts`` is
     already dealt by ``keys``, nothing is shuffled here.
@@ -83,12 +84,14 @@ def signatures(texts: DataFrame, keys: list[str], part: str = "part", text: str
     hexes = F.array(*[F.lpad(F.lower(F.hex(F.col(f"m{j}").bitwiseAND(0xFFFF))), 4, "0") for j in range(PER_LANE)])
     return (least.groupBy(*keys, part)
             .agg(F.array_sort(F.collect_list(F.struct("lane", hexes.alias("s")))).alias("lanes"))
-            .select(*keys, part, F.flatten(F.col("lanes.s")).alias("samples")))
+            .select(*keys, part, F.array_join(F.flatten(F.col("lanes.s")), "").alias("samples")))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of agreeing samples: an estimate of the generalised Jaccard similarity."""
-    same = F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    at = lambda s, i: F.substr(s, i * WIDTH + 1, F.lit(WIDTH))
+    same = F.aggregate(F.sequence(F.lit(0), F.lit(SAMPLES - 1)), F.lit(0),
+                       lambda n, i: n + (at(a, i) == at(b, i)).cast("int"))
     return same / F.lit(float(SAMPLES))
 
 
@@ -111,10 +114,11 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     lent = links.select(F.col("n1").alias("k1"), F.col("n2").alias("k2"), F.col("k1").alias("p1"),
                         F.col("k2").alias("p2"), F.floor(F.col("n") / 3).cast("int").alias("cut"),
                         (F.col("copies") * F.col("n_copies")).alias("times"))
-    heads = (texts.join(lent, KEY)
+    # hashed joins: the texts stream past the small sides unsorted
+    heads = (texts.join(lent.hint("shuffle_hash"), KEY)
              .select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), "cut", "times",
                      F.expr("substring(text, 1, cut)").alias("head")))
-    both = texts.join(heads, KEY).select(
+    both = texts.join(heads.hint("shuffle_hash"), KEY).select(
         *KEY, "times", "text",
         F.expr("concat(substring(text, 1, length(text) - cut), head)").alias("edited"))
     parts = both.select(*KEY, "times", F.explode(F.array(
@@ -132,7 +136,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     return done.join(other, ["n1", "n2"]).select(
         "doc_id", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
         F.col("n").cast("long").alias("n_chars"), "edited_sha256",
-        F.array_join("fp", "").alias("fingerprint"), F.array_join("efp", "").alias("edited_fingerprint"),
+        F.col("fp").alias("fingerprint"), F.col("efp").alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("efp")).alias("near_edited"),
         likeness(F.col("fp"), F.col("nfp")).alias("near_next")).drop("copy")
 
@@ -145,7 +149,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     n = key.groupBy(*KEY).agg(F.count(F.lit(1)).cast("double").alias("times"), F.first("doc_id").alias("doc_id"))
     out = signatures(key.drop("doc_id").join(n.drop("doc_id"), KEY), KEY, copies=F.col("times"))
     return out.join(n, KEY).select(
-        "doc_id", F.array_join("samples", "").alias("fingerprint"),
+        "doc_id", F.col("samples").alias("fingerprint"),
         F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy")).drop("copy")
 
 

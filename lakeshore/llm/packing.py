@@ -215,7 +215,7 @@ def plan_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[tup
     return plan
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 200_000,
+def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 20_000,
          length_col: str = "length") -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``. Lengths must lie in 1..capacity.
 
