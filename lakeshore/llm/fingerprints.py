@@ -74,8 +74,8 @@ def signatures(texts: DataFrame, keys: list[str], part: str = "part", text: str
     times = F.lit(1.0) if copies is None else copies
     terms = (texts.select(*keys, part, times.alias("times"), F.explode(F.split(F.col(text), SPACE)).alias("word"))
              .select(*keys, part, "times", F.xxhash64("word").alias("term"))
-             .groupBy(*keys, part, "term").agg((F.count(F.lit(1)) / F.first("times")).alias("weight"))
-             .select(*keys, part, "term", F.log("weight").alias("log_weight")))
+             .groupBy(*keys, part, "times", "term").agg(F.count(F.lit(1)).alias("n"))
+             .select(*keys, part, "term", F.log(F.col("n") / F.col("times")).alias("log_weight")))
     lanes = terms.select(*keys, part, "term", "log_weight",
                          F.explode(F.array(*[F.lit(i) for i in range(LANES)])).alias("lane"))
     least = lanes.groupBy(*keys, part, "lane").agg(*[
@@ -131,8 +131,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     digests = both.select(*KEY, F.sha2("edited", 256).alias("sha")).groupBy(*KEY).agg(
         F.first("sha").alias("edited_sha256"))
     done = materialize(signed.join(digests, KEY).join(links, KEY), "fp_signed")
-    other = materialize(done.select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("fp").alias("nfp")),
-                        "fp_next")
+    other = done.select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("fp").alias("nfp"))
     return done.join(other, ["n1", "n2"]).select(
         "doc_id", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
         F.col("n").cast("long").alias("n_chars"), "edited_sha256",
