@@ -194,22 +194,15 @@ def _index(sets: DataFrame) -> DataFrame:
         F.col("e.t").alias("t"), "id", "n", (F.col("alone") + F.col("p")).alias("pos"))
 
 
-def _may_link(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
-    """Size and position bounds of two entries of one list."""
-    small, great = F.least(n1, n2), F.greatest(n1, n2)
-    most = 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
-    return (small * DEN >= great * NUM) & (most * (DEN + NUM) >= (n1 + n2) * NUM)
-
-
 def _first_links(index: DataFrame, sets: DataFrame) -> DataFrame:
     """Links ``a, b`` among neighbours by size, and with the smallest set, of each list."""
     order = Window.partitionBy("t").orderBy("n", "id")
-    here = F.struct("id", "n", "pos")
+    here = F.struct("id", "n")
     paired = index.select("t", here.alias("x"), F.lag(here).over(order).alias("y"), F.first(here).over(order).alias("z"))
     pairs = paired.select("x", F.explode(F.array("y", "z")).alias("y")).filter(
         F.col("y").isNotNull() & (F.col("x.id") != F.col("y.id")))
-    pairs = (pairs.filter(_may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")))
-             .select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct())
+    near = F.least("x.n", "y.n") * DEN >= F.greatest("x.n", "y.n") * NUM
+    pairs = (pairs.filter(near).select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct())
     pairs = materialize(pairs, "nj_pairs")
     a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
@@ -233,8 +226,9 @@ def _chunks(index: DataFrame, found: DataFrame) -> DataFrame:
     nodes = nodes.join(big, "component")
     family = nodes.filter(F.col("c") < CHUNK).groupBy("head").agg(F.count(F.lit(1)).alias("f"))
     nodes = nodes.join(family, "head", "left")
-    own = F.xxhash64(F.lit(1), "component", F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / CHUNK)))
-    pooled = F.xxhash64(F.lit(2), "head", F.pmod(F.xxhash64("component"), F.ceil(F.col("f") / CHUNK)))
+    # chunks of large components have ids from 0 on, pooled ones below: the few visit the many
+    own = F.xxhash64("component", F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / CHUNK))).bitwiseAND((1 << 63) - 1)
+    pooled = F.xxhash64("head", F.pmod(F.xxhash64("component"), F.ceil(F.col("f") / CHUNK))).bitwiseOR(-(1 << 63))
     return nodes.select("id", "component", F.when(F.col("c") >= CHUNK, own).otherwise(pooled).alias("chunk"))
 
 
