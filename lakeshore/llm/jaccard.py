@@ -53,7 +53,7 @@ SHINGLE = 5
 #: Similarity 80/100, and the part of a set (in tenths) that l of step 2 is.
 NUM, DEN = 80, 100
 EXTRA_TENTHS = 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 #: Frequent shingles: in at least this many sampled classes (one in SAMPLE); at most FREQUENT of them.
 SAMPLE, SAMPLE_LEAST, FREQUENT = 64, 4, 20_000
 CHUNK = 256

@@ -31,8 +31,8 @@ from .packing import _spans
 
 WORD = re.compile(r"[^\W\d_]+")
 STRETCH = 128
-BATCH_WORDS = 250_000
-CACHED_WORDS = 250_000
+BATCH_WORDS = 120_000
+CACHED_WORDS = 150_000
 SEGMENT = 32
 DIMENSION = 1 << 16
 
@@ -64,7 +64,8 @@ class Field:
             new = list(set().union(*words))
             self.scores = self.scores[:0]
         if new:
-            self.scores = np.vstack([self.scores, self.emit(new)])
+            parts = [self.emit(new[i:i + 20_000]) for i in range(0, len(new), 20_000)]
+            self.scores = np.vstack([self.scores, *parts])
             known.update(zip(new, range(len(known), len(known) + len(new))))
         return [np.fromiter(map(known.__getitem__, ws), np.int64, len(ws)) for ws in words]
 
@@ -291,7 +292,7 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Field(*shared.value)
         for batch in batches:
-            for lo, hi in _spans(batch["text"], 2_000_000):
+            for lo, hi in _spans(batch["text"], 1_000_000):
                 frame = pd.DataFrame(label(model, batch["text"].iloc[lo:hi]), columns=["lang_pred", "score", "n_words"])
                 frame.insert(0, "doc_id", batch["doc_id"].iloc[lo:hi].to_numpy())
                 yield frame
@@ -333,7 +334,7 @@ def keep_identified(docs: DataFrame, field: Field | None, least: float) -> DataF
         model = Field(*shared.value)
         for texts in batches:
             kept = []
-            for lo, hi in _spans(texts, 2_000_000):
+            for lo, hi in _spans(texts, 1_000_000):
                 kept.extend(lang != "und" and score >= least for lang, score, _ in label(model, texts.iloc[lo:hi]))
             yield pd.Series(kept, dtype=bool)
 

@@ -34,7 +34,7 @@ from .common import table
 
 CAPACITY = 2048
 #: Distinct white-space separated strings, and letter runs, whose ids a worker remembers.
-CACHED_CHUNKS, CACHED_PARTS = 1_000_000, 800_000
+CACHED_CHUNKS, CACHED_PARTS = 400_000, 400_000
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 

@@ -38,7 +38,9 @@ QUOTES = '"“”«»„'
 ADDRESS = frozenset("you your you're u tu te vous du dich ihr tú usted vosotros".split())
 WINDOW = 5
 FEATURES = 6
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 200_000
+#: Determinised states that are kept before the automaton starts afresh.
+KEPT_STATES = 30_000
 DEAD = 0
 
 
@@ -72,7 +74,10 @@ class Lexicon:
                 for c in w:
                     node = self.edges[node][c]
                 self.allowed[node] = True
-        # determinised states: dead first, then the start
+        self._restart()
+
+    def _restart(self) -> None:
+        """No determinised states but the dead one and the start."""
         self.ids: dict[frozenset, int] = {frozenset(): DEAD}
         self.steps: list[dict[str, int]] = [{}]
         self.sets: list[frozenset] = [frozenset()]
@@ -116,6 +121,8 @@ class Lexicon:
 
     def match(self, word: str) -> tuple[float, int]:
         """(weight, errors) of the best term or stem; weight 0 if none."""
+        if len(self.sets) > KEPT_STATES:
+            self._restart()
         state, best = self.first, 0.0
         for c in word:
             nxt = self.steps[state].get(c)
