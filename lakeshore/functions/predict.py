@@ -6,28 +6,26 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import functions as F
 
 Model = Callable[[pd.Series], pd.Series]
 
 
 def batch_predict(df: DataFrame, prompt_col: str, model_factory: Callable[[], Model],
                   out_col: str = "response") -> DataFrame:
-    """Append ``out_col`` = model(prompt) for every row (``mapInPandas``).
+    """Append ``out_col`` = model(prompt) for every row (an iterator pandas UDF).
 
     ``model_factory`` runs once per task on the executor (open the client there, not on
-    the driver); the model is called on whole Arrow batches. Rows stay in their
-    partitions; nothing passes through the driver.
+    the driver); the model is called on whole Arrow batches. Only the prompt column goes to
+    Python, so the other columns keep their values and types whatever pandas makes of them.
     """
-    schema = StructType(df.schema.fields + [StructField(out_col, StringType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = model_factory()
         for b in batches:
-            b[out_col] = model(b[prompt_col])
-            yield b
+            yield model(b)
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn(out_col, run(F.col(prompt_col)))
 
 
 def echo_upper_model() -> Model:

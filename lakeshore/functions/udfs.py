@@ -6,11 +6,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import membership_flag
-
 
 def register_mask_function(spark: SparkSession, groups=(), name: str = "mask_email",
-                           group: str = "field-eng-only", keep: int = 2) -> str:
+                           group: str = "pii_readers", keep: int = 2) -> str:
     """``CREATE TEMPORARY FUNCTION name(email STRING) RETURNS STRING RETURN IF(member, ...)``.
 
     Group membership is resolved for the caller here and enters the body as a literal.
@@ -32,25 +30,20 @@ def register_row_filter_function(spark: SparkSession, groups=(), name: str = "fi
     return name
 
 
+@F.pandas_udf("string")
+def _yes_no(hit: pd.Series) -> pd.Series:
+    return hit.map({True: "Y", False: "N"})
+
+
 def pandas_membership_flag(df: DataFrame, col: str, keys: DataFrame, key_col: str,
-                           name: str = "customerid_is_valid", max_keys: int = 1_000_000
-                           ) -> DataFrame:
-    """'Y'/'N' flag computed by a scalar pandas UDF over a broadcast key set.
+                           name: str = "customerid_is_valid") -> DataFrame:
+    """'Y'/'N' flag by a left join on the distinct keys and a scalar pandas UDF on the hit.
 
-    Only for key sets of checked size: the distinct keys are counted first and shipped as a
-    broadcast variable only when there are at most ``max_keys``; above that the flag is the
-    existence join of ``membership_flag``.
+    One path for every number of keys: nothing is collected, and Python sees a boolean that is
+    never NULL, so the ids keep their type. A NULL id is no member.
     """
-    distinct = keys.select(F.col(key_col).alias("k")).filter(F.col("k").isNotNull()).distinct()
-    n = distinct.count()
-    if n > max_keys:
-        return membership_flag(df, col, keys, key_col, name)
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(frozenset(r.k for r in distinct.toLocalIterator()))
-
-    @F.pandas_udf("string")
-    def flag(ids: pd.Series) -> pd.Series:
-        s = bc.value
-        return ids.map(lambda v: "Y" if v in s else "N")
-
-    return df.withColumn(name, flag(F.col(col)))
+    distinct = (keys.select(F.col(key_col).alias("__key")).filter(F.col("__key").isNotNull())
+                .distinct().withColumn("__hit", F.lit(True)))
+    return (df.join(distinct, F.col(col) == F.col("__key"), "left")
+            .withColumn(name, _yes_no(F.coalesce(F.col("__hit"), F.lit(False))))
+            .drop("__key", "__hit"))

@@ -101,8 +101,10 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
     in_day = Window.partitionBy("__c", "__d").orderBy("__h", "__g")
     others = [F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(
                   in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+              # the splits after this one: a running maximum in descending order
               F.max(F.when(F.col("__g") == 0, F.col("__v"))).over(
-                  in_day.rowsBetween(Window.currentRow, Window.unboundedFollowing))]
+                  Window.partitionBy("__c", "__d").orderBy(F.col("__h").desc(), F.col("__g").desc())
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))]
     if days >= 2:
         days_back = Window.partitionBy("__c").orderBy("__d").rangeBetween(-(days - 1), -1)
         others.append(F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(days_back))
@@ -119,12 +121,15 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
 
     w = Window.partitionBy("__c", "__d", "__h").orderBy("__t", "__tag")
 
-    def pick(tag: int, lo, hi) -> Column:
-        return F.max(F.when(F.col("__tag") == tag, F.col("__v"))).over(w.rowsBetween(lo, hi))
+    # running maxima forth and back: a frame that ends with the partition would read the rest
+    # of it again for every row
+    back = Window.partitionBy("__c", "__d", "__h").orderBy(F.col("__t").desc(), F.col("__tag").desc())
 
-    best = [pick(0, Window.unboundedPreceding, Window.currentRow),
-            pick(2, Window.currentRow, Window.unboundedFollowing),
-            pick(3, Window.unboundedPreceding, Window.unboundedFollowing)]
+    def pick(tag: int, over, hi=Window.currentRow) -> Column:
+        return F.max(F.when(F.col("__tag") == tag, F.col("__v"))).over(
+            over.rowsBetween(Window.unboundedPreceding, hi))
+
+    best = [pick(0, w), pick(2, back), pick(3, w, Window.unboundedFollowing)]
     scored = u.select("__tag", "__o", F.greatest(*best).alias("__best")).filter(F.col("__tag") == 1)
     matched = scored.select(*[F.col("__o").getField(x).alias(x) for x in ocols],
                             *[F.col("__best").getField(x).alias(x) for x in camp_cols])

@@ -21,7 +21,7 @@ def is_member(group: str, groups: Iterable[str]) -> Column:
     return F.lit(group in set(groups))
 
 
-def prefix_mask(keep: int = 2, fill: str = "*", group: str = "field-eng-only") -> MaskFn:
+def prefix_mask(keep: int = 2, fill: str = "*", group: str = "pii_readers") -> MaskFn:
     """Members of ``group`` see the first ``keep`` characters and ``fill`` for the rest.
 
     NULL stays NULL; values no longer than ``keep`` are shown as they are.

@@ -20,7 +20,7 @@ from .fixture_sql import with_flow
 from .registry import bronze, gold_table, register, silver_layer
 
 # Group names of the governed views and the excluded channel.
-MASK_GROUP = "field-eng-only"
+MASK_GROUP = "pii_readers"
 ADMIN_GROUP = "ultra-admin"
 EXCLUDED_CHANNELS = ("Call Center",)
 PROMPT = "Write a short holiday promotion, in the language of this country: "

@@ -56,13 +56,17 @@ def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (or the directory set on the context);
-    only when neither is set (local tests) a private directory is created and registered.
+    On a cluster this is ``spark.checkpoint.dir`` (or the directory set on the context). Only a
+    local master may go without: it gets a private directory. Elsewhere a machine-local folder
+    would leave each executor's files on its own disk, so the call fails instead.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="lakeshore-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
