@@ -30,11 +30,6 @@ def register_row_filter_function(spark: SparkSession, groups=(), name: str = "fi
     return name
 
 
-@F.pandas_udf("string")
-def _yes_no(hit: pd.Series) -> pd.Series:
-    return hit.map({True: "Y", False: "N"})
-
-
 def pandas_membership_flag(df: DataFrame, col: str, keys: DataFrame, key_col: str,
                            name: str = "customerid_is_valid") -> DataFrame:
     """'Y'/'N' flag by a left join on the distinct keys and a scalar pandas UDF on the hit.
@@ -42,8 +37,12 @@ def pandas_membership_flag(df: DataFrame, col: str, keys: DataFrame, key_col: st
     One path for every number of keys: nothing is collected, and Python sees a boolean that is
     never NULL, so the ids keep their type. A NULL id is no member.
     """
+    @F.pandas_udf("string")
+    def yes_no(hit: pd.Series) -> pd.Series:
+        return hit.map({True: "Y", False: "N"})
+
     distinct = (keys.select(F.col(key_col).alias("__key")).filter(F.col("__key").isNotNull())
                 .distinct().withColumn("__hit", F.lit(True)))
     return (df.join(distinct, F.col(col) == F.col("__key"), "left")
-            .withColumn(name, _yes_no(F.coalesce(F.col("__hit"), F.lit(False))))
+            .withColumn(name, yes_no(F.coalesce(F.col("__hit"), F.lit(False))))
             .drop("__key", "__hit"))
