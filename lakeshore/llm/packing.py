@@ -19,6 +19,7 @@ from __future__ import annotations
 import gc
 import os
 import re
+import threading
 import zlib
 from array import array
 from collections import defaultdict
@@ -35,6 +36,7 @@ from .common import table
 CAPACITY = 2048
 #: Distinct white-space separated strings, and letter runs, whose ids a worker remembers.
 CACHED_CHUNKS, CACHED_PARTS = 400_000, 400_000
+IDLE_SECONDS = 5.0
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -58,14 +60,27 @@ class ChunkTokenizer:
         self.mark = self.tokenizer.encode("0", add_special_tokens=False).ids[0]
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        self.idle: threading.Timer | None = None
 
     @classmethod
     def shared(cls, file: str) -> "ChunkTokenizer":
         """One per worker process, so what one task has learned serves the next."""
         if file not in _SHARED:
             _SHARED[file] = cls(file)
+        if _SHARED[file].idle is not None:
+            _SHARED[file].idle.cancel()
         return _SHARED[file]
 
+    def rest(self) -> None:
+        """Forget everything unless another task of the worker goes on soon: other operators
+        run in the same process and need the memory."""
+        self.idle = threading.Timer(IDLE_SECONDS, self._forget)
+        self.idle.daemon = True
+        self.idle.start()
+
+    def _forget(self) -> None:
+        self.known, self.parts = {}, {"": b""}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         chunked = [_chunks(t) for t in texts]
         distinct = set().union(*chunked)
@@ -89,7 +104,7 @@ class ChunkTokenizer:
                     marks.add(lead)
                 if trail not in parts:
                     marks.add(trail)
-        self._learn_letters(list(letters))
+        self._learn_letters(list(letters), parts)
         self._learn(list(marks), parts)
         self._learn(whole, known)
         for c, lead, core, trail in plain:
@@ -102,7 +117,7 @@ class ChunkTokenizer:
             for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 into[c] = array("I", e.ids).tobytes()
 
-    def _learn_letters(self, words: list[str]) -> None:
+    def _learn_letters(self, words: list[str], parts: dict[str, bytes]) -> None:
         groups = [words[i:i + 256] for i in range(0, len(words), 256)]
         for i in range(0, len(groups), 64):
             some = groups[i:i + 64]
@@ -111,7 +126,7 @@ class ChunkTokenizer:
                 ids = np.array(e.ids, "<u4")
                 ends = (np.flatnonzero(ids == self.mark) * 4).tolist()
                 flat = ids.tobytes()
-                self.parts.update((w, flat[a:b]) for w, a, b in zip(g, [0, *(x + 4 for x in ends)], ends))
+                parts.update((w, flat[a:b]) for w, a, b in zip(g, [0, *(x + 4 for x in ends)], ends))
 
 
 def _chunks(text: str) -> list[str]:
@@ -149,18 +164,23 @@ def token_pieces(docs: DataFrame, tokenizer_file: str | None = None, capacity: i
         tok = ChunkTokenizer.shared(tokenizer_file or public_tokenizers.path("word_bpe_49k.json"))
         width = 4 * capacity
         gc.disable()  # nothing here makes cycles; the collector would walk the remembered strings
-        for batch in batches:
-            for lo, hi in _spans(batch["text"], 4_000_000):
-                part = batch.iloc[lo:hi]
-                out = []
-                for doc, ids in zip(part["doc_id"].array, tok.encode(part["text"].tolist())):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), width)):
-                        piece = ids[at:at + width]
-                        row = (doc, k, at // 4, len(piece) // 4, zlib.crc32(piece))
-                        out.append((*row, np.frombuffer(piece, "<u4").astype("int32")) if keep_ids else row)
-                yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]
-                                   + ["ids"] * keep_ids)
+        try:
+            for batch in batches:
+                for lo, hi in _spans(batch["text"], 4_000_000):
+                    yield pieces_of(batch.iloc[lo:hi], tok, width)
+        finally:
+            gc.enable()
+            tok.rest()
+
+    def pieces_of(part: pd.DataFrame, tok: ChunkTokenizer, width: int) -> pd.DataFrame:
+        out = []
+        for doc, ids in zip(part["doc_id"].array, tok.encode(part["text"].tolist())):
+            ids += end
+            for k, at in enumerate(range(0, len(ids), width)):
+                piece = ids[at:at + width]
+                row = (doc, k, at // 4, len(piece) // 4, zlib.crc32(piece))
+                out.append((*row, np.frombuffer(piece, "<u4").astype("int32")) if keep_ids else row)
+        return pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
 
     # ids cross to Python as text: pandas would turn integers with a null among them into floats
     return (docs.select(F.col(id_col).cast("string").alias("doc_id"),
