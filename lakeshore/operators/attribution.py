@@ -13,6 +13,11 @@ into
   earlier hours of day d, later hours of the moved day d - days, and whole days
   d - days + 1 .. d - 1 (a range frame over the day number)
 
+On TIMESTAMP columns the window is N calendar days of the session time zone, as in SQL: the
+moved copy sits at the true end, cells are half days (so that a window always leaves its first
+cell), and since a clock change can shorten or lengthen a window by a cell, the whole cells in
+between are looked up by each campaign's own span. Offset changes must be under 12 hours.
+
 The raw rows meet only in (customer, day, hour) partitions, so the work is linear in
 orders + campaigns and a busy customer is split by day and hour; the third part works on
 aggregated rows only (a few per customer-hour). "Ranks first" is the maximum of a struct
@@ -28,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import DAY_US, day_of, epoch_micros
+from .joins import DAY_US, day_of, epoch_micros, window_end
 
 RANK = ("discount", "marketingdate", "marketingid")
 
@@ -55,43 +60,52 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
         raise ValueError("the attribution window must be at least one day")
     if split_us <= 0 or DAY_US % split_us:
         raise ValueError("split_us must divide a day")
-    width = days * DAY_US
+    zoned = isinstance(campaigns.schema[campaign_ts].dataType, T.TimestampType)
+    cell = DAY_US // 2 if zoned else DAY_US
+    cells = days * DAY_US // cell
+    spans = (cells - 1, cells, cells + 1) if zoned else (cells,)
+    split_us = min(split_us, cell)
+    if cell % split_us:
+        raise ValueError("split_us must divide half a day for TIMESTAMP columns")
     camp_cols, ocols = campaigns.columns, orders.columns
     vtype = campaigns.select(_rank_struct(rank, camp_cols).alias("v")).schema["v"].dataType
 
     def sub(t: Column) -> Column:
-        return (F.pmod(t, F.lit(DAY_US)) / F.lit(split_us)).cast("bigint") \
-            if split_us < DAY_US else F.lit(0).cast("bigint")
+        return (F.pmod(t, F.lit(cell)) / F.lit(split_us)).cast("bigint") \
+            if split_us < cell else F.lit(0).cast("bigint")
 
     ok = F.col(order_key).isNotNull() & F.col(order_ts).isNotNull()
     o_us = epoch_micros(orders, order_ts)
     o = orders.filter(ok).select(F.col(order_key).alias("__c"), o_us.alias("__t"),
                                  F.struct(*[F.col(f"`{c}`") for c in ocols]).alias("__o"),
-                                 day_of(o_us).alias("__d"), sub(o_us).alias("__h"))
+                                 day_of(o_us, cell).alias("__d"), sub(o_us).alias("__h"))
     otype = T.StructType([T.StructField(f.name, f.dataType, True) for f in orders.schema])
     none_o = F.lit(None).cast(otype).alias("__o")
     none_v = F.lit(None).cast(vtype).alias("__v")
 
     c = (campaigns.filter(F.col(campaign_key).isNotNull() & F.col(campaign_ts).isNotNull())
          .select(F.col(campaign_key).alias("__c"), epoch_micros(campaigns, campaign_ts).alias("__t"),
-                 _rank_struct(rank, camp_cols).alias("__v")))
+                 window_end(campaigns, campaign_ts, days).alias("__e"), _rank_struct(rank, camp_cols).alias("__v")))
     # tag 0: a campaign in its own day; tag 2: the campaign moved forward by the window
     # (both copies from one scan)
     copies = F.array(F.struct(F.col("__t").alias("t"), F.lit(0).alias("tag")),
-                     F.struct((F.col("__t") + F.lit(width)).alias("t"), F.lit(2).alias("tag")))
+                     F.struct(F.col("__e").alias("t"), F.lit(2).alias("tag")))
     xt = F.col("__x.t")
-    raw = (c.select("__c", "__v", F.explode(copies).alias("__x"))
-           .select("__c", xt.alias("__t"), "__v", F.col("__x.tag").alias("__tag"),
-                   day_of(xt).alias("__d"), sub(xt).alias("__h")))
+    span = (day_of(F.col("__e"), cell) - day_of(F.col("__t"), cell)).cast("int")
+    raw = (c.select("__c", "__v", span.alias("__s"), F.explode(copies).alias("__x"))
+           .select("__c", xt.alias("__t"), "__v", F.col("__x.tag").alias("__tag"), "__s",
+                   day_of(xt, cell).alias("__d"), sub(xt).alias("__h")))
     # One aggregation (partial before the shuffle) gives, per (customer, day, split): the
     # best same-day campaign (tag 0), the best moved campaign (tag 2), and whether orders
     # fall there (tag 1).
-    per_split = (raw.select("__c", "__d", "__h", "__tag", "__v")
-                 .unionByName(o.select("__c", "__d", "__h", F.lit(1).alias("__tag"), none_v))
-                 .groupBy("__c", "__d", "__h", "__tag").agg(F.max("__v").alias("__v")))
+    no_span = F.lit(0).alias("__s")
+    per_split = (raw.select("__c", "__d", "__h", "__tag", "__s", "__v")
+                 .unionByName(o.select("__c", "__d", "__h", F.lit(1).alias("__tag"), no_span, none_v))
+                 .groupBy("__c", "__d", "__h", "__tag", "__s").agg(F.max("__v").alias("__v")))
     # For each (customer, day, split) holding orders, the best campaign outside that split:
     # same-day campaigns of earlier splits, moved campaigns of later splits, and same-day
-    # campaigns of the whole days d - days + 1 .. d - 1 (a range frame over the day number).
+    # campaigns of the whole days d - days + 1 .. d - 1 (a range frame over the day number, one
+    # for each span that a window can have).
     # These rows are aggregates (at most 3 * day / split per customer and active day), so
     # partitioning them by customer alone is bounded by the time span, not by the data.
     # At equal split: moved (g=0) < order key (g=1) < same-day (g=2).
@@ -105,9 +119,11 @@ def best_in_window(orders: DataFrame, campaigns: DataFrame, *, days: int,
               F.max(F.when(F.col("__g") == 0, F.col("__v"))).over(
                   Window.partitionBy("__c", "__d").orderBy(F.col("__h").desc(), F.col("__g").desc())
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))]
-    if days >= 2:
-        days_back = Window.partitionBy("__c").orderBy("__d").rangeBetween(-(days - 1), -1)
-        others.append(F.max(F.when(F.col("__g") == 2, F.col("__v"))).over(days_back))
+    for n in spans:
+        if n >= 2:
+            back_to = Window.partitionBy("__c").orderBy("__d").rangeBetween(-(n - 1), -1)
+            whole = (F.col("__g") == 2) & (F.col("__s") == n) if zoned else F.col("__g") == 2
+            others.append(F.max(F.when(whole, F.col("__v"))).over(back_to))
     outside = (grid.select("__c", "__d", "__h", "__g", F.greatest(*others).alias("__v"))
                .filter(F.col("__g") == 1).drop("__g"))
 
@@ -155,7 +171,7 @@ def double_attribution_flag(pairs: DataFrame, *, key: str = "orderid",
     final aggregate (the maximum of the row as a struct led by the ranking columns), joined
     back on the key (AQE may split a heavy key), and only exact copies of that first row meet
     in a window, to give the flag 0 to one of them: every other row gets a partition of its
-    own through a per-row salt.
+    own through a salt made of its content (the same on every rerun of a task).
     """
     cols = pairs.columns
     row = _rank_struct(rank, cols)
@@ -164,9 +180,8 @@ def double_attribution_flag(pairs: DataFrame, *, key: str = "orderid",
     j = pairs.join(best, F.col(key) == F.col("__bk"), "left")
     is_best = F.coalesce(row.eqNullSafe(F.col("__best")), F.lit(False))
     j = (j.withColumn("__isb", is_best)
-         .withColumn("__salt", F.when(F.col("__isb"), F.lit(0))
-                     .otherwise(F.monotonically_increasing_id() + 1)))
-    w = Window.partitionBy(key, "__salt").orderBy(*rank_order(rank))
+         .withColumn("__salt", F.when(~F.col("__isb"), F.xxhash64(*[F.col(f"`{c}`") for c in cols]))))
+    w = Window.partitionBy(key, "__isb", "__salt").orderBy(*rank_order(rank))
     flag = (F.when(F.col(key).isNull(), 0)
             .when(F.col("__isb") & (F.row_number().over(w) == 1), 0).otherwise(1))
     return j.withColumn(name, flag).select(*[F.col(f"`{c}`") for c in cols], name)
@@ -174,17 +189,22 @@ def double_attribution_flag(pairs: DataFrame, *, key: str = "orderid",
 
 def first_per_key(df: DataFrame, *, key: str = "orderid", rank: Sequence[str] = RANK,
                   tie_break: Sequence[str] = ()) -> DataFrame:
-    """Keep the first row per key under ``rank DESC`` (``row_number() = 1``).
+    """Keep the first row per key under ``rank DESC`` (``row_number() = 1``); ties go by
+    ``tie_break`` and then by the other columns, so reruns agree.
 
-    Planned with a partial WindowGroupLimit before the shuffle. Rows with a NULL key are
-    all kept (as the lag-based flag keeps them): each gets a partition of its own through
-    a per-row id, so they neither meet in one task nor need a second pass over ``df``.
+    ``rank() = 1`` is planned with a partial WindowGroupLimit before the shuffle and leaves only
+    exact copies of a key's first row, which a second window of the same partitioning and order
+    tells apart. Rows with a NULL key are all kept (as the lag-based flag keeps them): each
+    content is a partition of its own, so they neither meet in one task nor need a second pass.
     """
-    order = rank_order(rank) + [F.col(c).desc() for c in tie_break]
-    nid = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
-    w = Window.partitionBy(key, "__nid").orderBy(*order)
-    return (df.select("*", nid.alias("__nid")).select("*", F.row_number().over(w).alias("__rn"))
-            .filter(F.col("__rn") == 1).drop("__rn", "__nid"))
+    named = [*rank, *tie_break]
+    order = [F.col(f"`{c}`").desc() for c in named + [c for c in df.columns if c not in named and c != key]]
+    content = F.when(F.col(key).isNull(), F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    w = Window.partitionBy(key, "__own").orderBy(*order)
+    first = (df.select("*", content.alias("__own")).select("*", F.rank().over(w).alias("__rank"))
+             .filter(F.col("__rank") == 1))
+    return (first.select("*", F.row_number().over(w).alias("__rn"))
+            .filter((F.col("__rn") == 1) | F.col(key).isNull()).select(*[f"`{c}`" for c in df.columns]))
 
 
 def multi_attribution_orders(pairs: DataFrame, *, key: str = "orderid",

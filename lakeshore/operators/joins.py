@@ -31,10 +31,19 @@ def epoch_micros(df: DataFrame, col: str) -> Column:
     raise TypeError(f"{col}: expected a timestamp or date column, got {t.simpleString()}")
 
 
-def day_of(micros: Column) -> Column:
-    """UTC day number of epoch micros (exact integer floor division)."""
+def day_of(micros: Column, unit: int = DAY_US) -> Column:
+    """UTC day number (or number of the ``unit``) of epoch micros: exact integer floor division."""
     # (m - pmod(m, D)) is an exact multiple of D, so the quotient is exact
-    return ((micros - F.pmod(micros, F.lit(DAY_US))) / F.lit(DAY_US)).cast("bigint")
+    return ((micros - F.pmod(micros, F.lit(unit))) / F.lit(unit)).cast("bigint")
+
+
+def window_end(df: DataFrame, col: str, days: int) -> Column:
+    """Epoch micros of ``col + INTERVAL days DAY``. On TIMESTAMP these are calendar days of the
+    session time zone, as in SQL (a day with a clock change has 23 or 25 hours); on the other
+    types a day has 24 hours."""
+    if isinstance(df.schema[col].dataType, TimestampType):
+        return F.unix_micros(F.col(col) + F.make_dt_interval(days=F.lit(days)))
+    return epoch_micros(df, col) + F.lit(days * DAY_US)
 
 
 def _pad(df: DataFrame, other: DataFrame) -> DataFrame:
@@ -123,29 +132,30 @@ def band_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     of ``bucket_days`` (default: the window length, at least one day); each right row is
     copied into the buckets its interval touches (two when the bucket is as wide as the
     window) and the join is on (key, bucket): a busy key is split by time, and only pairs
-    that share a bucket are compared. Buckets are UTC-aligned in epoch micros, so the result
-    does not depend on the session time zone. Filter the right side before calling (a
-    predicate on the right side in ON keeps every left row).
+    that share a bucket are compared. Buckets are UTC-aligned in epoch micros; the end of the
+    interval is ``window_end``, so a TIMESTAMP gets calendar days of the session time zone.
+    Filter the right side before calling (a predicate on the right side in ON keeps every left
+    row).
     """
     if days < 0:
         raise ValueError("days must be >= 0")
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    width = days * DAY_US
     bucket = max(1, bucket_days if bucket_days is not None else days) * DAY_US
     l_us, r_us = epoch_micros(left, left_ts), epoch_micros(right, right_ts)
+    r_end = window_end(right, right_ts, days)
 
     def bk(us: Column) -> Column:
         return ((us - F.pmod(us, F.lit(bucket))) / F.lit(bucket)).cast("bigint")
 
     rb = (right.filter(F.col(right_key).isNotNull() & F.col(right_ts).isNotNull())
-          .select("*", r_us.alias("__rus"),
-                  F.explode(F.sequence(bk(r_us), bk(r_us + F.lit(width)))).alias("__bk")))
+          .select("*", r_us.alias("__rus"), r_end.alias("__rend"),
+                  F.explode(F.sequence(bk(r_us), bk(r_end))).alias("__bk")))
     matchable = F.col(left_key).isNotNull() & F.col(left_ts).isNotNull()
     lb = left.filter(matchable).select("*", l_us.alias("__lus"), bk(l_us).alias("__bk"))
     cond = [F.col(f"l.{left_key}") == F.col(f"r.{right_key}"),
             F.col("l.__bk") == F.col("r.__bk"),
-            F.col("l.__lus").between(F.col("r.__rus"), F.col("r.__rus") + F.lit(width))]
+            F.col("l.__lus").between(F.col("r.__rus"), F.col("r.__rend"))]
     joined = (lb.alias("l").join(rb.alias("r"), cond, how)
               .select(*[F.col(f"l.`{c}`") for c in left.columns],
                       *[F.col(f"r.`{c}`") for c in right.columns]))

@@ -1,7 +1,7 @@
 """The test-table mapping and the bronze -> silver -> gold flow as plain SQL.
 
 Written once and shared by every oracle string: it is the specification the Spark
-operators are checked against. Identifiers and functions are common to DuckDB and Spark.
+operators are checked against (DuckDB's dialect).
 """
 
 from __future__ import annotations
@@ -38,39 +38,55 @@ marketing_bronze as (
   from events where event_type in ('click', 'view'))"""
 
 
+# Silver, by its definition. A customer row (taken once) leaves if its email is held by several
+# clients. That test is SQL's NOT IN: once any email is shared a missing email is never kept, and
+# if the missing email itself is shared nothing is. Orders and campaigns (taken once) stay if
+# their customer is in silver.
 SILVER_CTES = """
-d0 as (select distinct * from customers_bronze),
-dup_emails as (select email, count(distinct clientid) as recs from d0 group by email
-               having count(distinct clientid) > 1),
-customers_silver as (select * from d0 where email not in (select email from dup_emails)),
+email_holders as (
+  select email, count(distinct clientid) as recs from customers_bronze group by email),
+shared_emails as (select email, recs from email_holders where recs > 1),
+shared_facts as (select count(*) as n, count(*) - count(email) as without_email from shared_emails),
+customers_silver as (
+  select distinct c.clientid, c.email, c.country, c.channel, c.creation_date
+  from customers_bronze c cross join shared_facts f
+  left join shared_emails s on s.email = c.email
+  where f.n = 0 or (f.without_email = 0 and c.email is not null and s.email is null)),
 orders_silver as (
-  select distinct o.* from orders_bronze o
-  where customerid is not null
-    and exists (select 1 from customers_silver s where s.clientid = o.customerid)),
+  select o.orderid, o.transactiondate, o.items, o.amount, o.customerid
+  from orders_bronze o semi join customers_silver c on c.clientid = o.customerid
+  group by all),
 marketing_silver as (
-  select distinct m.* from marketing_bronze m
-  where targetedcustomerid is not null
-    and exists (select 1 from customers_silver s where s.clientid = m.targetedcustomerid))"""
+  select m.marketingid, m.marketingdate, m.discount, m.clicked, m.targetedcustomerid
+  from marketing_bronze m semi join customers_silver c on c.clientid = m.targetedcustomerid
+  group by all)"""
 
 
 def gold_ctes(days: int = 7) -> str:
+    """Gold, by its definition: every order with each clicked campaign sent to its customer in
+    the ``days`` before it (or none); of these the one with the highest discount, then the
+    latest date, then the highest id; the customer must exist on the order's day."""
     return f"""
-join_data as (
-  select a.*, b.* from orders_silver a left join marketing_silver b
-    on a.customerid = b.targetedcustomerid and b.clicked = 1
-   and a.transactiondate between b.marketingdate and b.marketingdate + interval '{days}' day),
-staging_01 as (
-  select *, case when lag(orderid, 1) over (partition by orderid
-      order by discount desc, marketingdate desc, marketingid desc) = orderid then 1 else 0 end
-      as double_attribution
-  from join_data),
-staging_02 as (select a.*, b.* from staging_01 a left join customers_silver b on a.customerid = b.clientid),
+clicked_campaigns as (
+  select *, marketingdate + interval '{days}' day as last_moment from marketing_silver where clicked = 1),
+candidates as (
+  select o.*, m.* exclude (last_moment)
+  from orders_silver o left join clicked_campaigns m
+    on m.targetedcustomerid = o.customerid
+   and m.marketingdate <= o.transactiondate and m.last_moment >= o.transactiondate),
+placed as (
+  select *, row_number() over (partition by orderid
+      order by discount desc nulls last, marketingdate desc nulls last, marketingid desc nulls last) as place
+  from candidates),
+flagged as (
+  select * exclude (place), cast(orderid is not null and place > 1 as integer) as double_attribution
+  from placed),
+flagged_customers as (select f.*, c.* from flagged f left join customers_silver c on c.clientid = f.customerid),
 gold as (
-  select orderid, transactiondate, items, amount, customerid, marketingid, marketingdate, discount,
-    clicked, targetedcustomerid, clientid, email, country, channel, creation_date
-  from staging_02
-  where double_attribution = 0 and clientid is not null
-    and cast(creation_date as date) <= cast(transactiondate as date))"""
+  select f.* exclude (double_attribution), c.*
+  from flagged f join customers_silver c
+    on c.clientid = f.customerid and c.creation_date < date_trunc('day', f.transactiondate) + interval '1' day
+  where f.double_attribution = 0)"""
 
 
 def with_flow(select: str, *, silver: bool = True, gold: bool = False, days: int = 7,

@@ -15,7 +15,7 @@ from .registry import bronze, gold_table, register, silver_layer
 
 PAIR_COLS = ("orderid, transactiondate, items, amount, customerid, marketingid, marketingdate, "
              "discount, clicked, targetedcustomerid")
-DUP_ORDERS = """select orderid from staging_01 where marketingid is not null
+DUP_ORDERS = """select orderid from flagged where marketingid is not null
   group by orderid having count(distinct marketingid) > 1"""
 
 # ---- C2 - C5: the medallion flow ----------------------------------------------------------
@@ -81,7 +81,7 @@ def revenue_by_month_country_hot_customer(spark, d):
 
 
 @register("multi_attribution_orders_hot_customer", with_flow(
-    """select orderid, count(distinct marketingid) as m_rec from staging_01
+    """select orderid, count(distinct marketingid) as m_rec from flagged
        where marketingid is not null group by orderid having count(distinct marketingid) > 1""",
     gold=True, hot_customer=HOT_CUSTOMER))
 def multi_attribution_orders_hot_customer(spark, d):
@@ -92,32 +92,34 @@ def multi_attribution_orders_hot_customer(spark, d):
 
 # ---- J2, W1, W2, C6: attribution internals ------------------------------------------------
 
-@register("interval_join_left", with_flow("select * from join_data", gold=True))
+@register("interval_join_left", with_flow("select * from candidates", gold=True))
 def interval_join_left(spark, d):
     return G.attribution_pairs(silver_layer(spark, d), 7)
 
 
-@register("double_attribution_flag", with_flow("select * from staging_01", gold=True))
+@register("double_attribution_flag", with_flow("select * from flagged", gold=True))
 def double_attribution_flag(spark, d):
     return G.attribution_staging(silver_layer(spark, d), 7)
 
 
 @register("best_match_per_order", with_flow(
-    f"select {PAIR_COLS} from staging_01 where double_attribution = 0", gold=True))
+    f"select {PAIR_COLS} from flagged where double_attribution = 0", gold=True))
 def best_match_per_order(spark, d):
-    pairs = G.attribution_pairs(silver_layer(spark, d), 7)
-    return attr.first_per_key(pairs, key="orderid")
+    """No order x campaign join: windows over the union of orders and campaigns."""
+    s = silver_layer(spark, d)
+    best = attr.best_in_window(s.orders, G.clicked(s.marketing), days=7)
+    return attr.first_per_key(best, key="orderid")
 
 
 @register("best_in_window_orders", with_flow(
-    f"select {PAIR_COLS} from staging_01 where double_attribution = 0", gold=True))
+    f"select {PAIR_COLS} from flagged where double_attribution = 0", gold=True))
 def best_in_window_orders(spark, d):
     """The same result as ``best_match_per_order``, computed without forming pairs."""
     return G.best_attribution(silver_layer(spark, d), 7)
 
 
 @register("multi_attribution_orders", with_flow(
-    """select orderid, count(distinct marketingid) as m_rec from staging_01
+    """select orderid, count(distinct marketingid) as m_rec from flagged
        where marketingid is not null group by orderid having count(distinct marketingid) > 1""",
     gold=True))
 def multi_attribution_orders(spark, d):
@@ -125,7 +127,7 @@ def multi_attribution_orders(spark, d):
 
 
 @register("double_attribution_rows", with_flow(
-    f"select * from staging_01 where orderid in ({DUP_ORDERS})", gold=True))
+    f"select * from flagged where orderid in ({DUP_ORDERS})", gold=True))
 def double_attribution_rows(spark, d):
     return G.double_attribution_rows(silver_layer(spark, d), 7)
 
@@ -142,7 +144,7 @@ def parameterized_window(spark, d):
 
 # ---- J1, J3, P12: joins to customers ------------------------------------------------------
 
-@register("left_outer_join", with_flow("select * from staging_02", gold=True))
+@register("left_outer_join", with_flow("select * from flagged_customers", gold=True))
 def left_outer_join(spark, d):
     s = silver_layer(spark, d)
     st = G.attribution_staging(s, 7)
@@ -150,7 +152,7 @@ def left_outer_join(spark, d):
 
 
 @register("outer_to_inner", with_flow(
-    "select * from staging_02 where clientid is not null", gold=True))
+    "select * from flagged_customers where clientid is not null", gold=True))
 def outer_to_inner(spark, d):
     s = silver_layer(spark, d)
     st = G.attribution_staging(s, 7)
@@ -316,7 +318,7 @@ def dup_values_having_alias(spark, d):
     return Q.shared_values(Q.dedup_rows(bronze(spark, d).customers), "email")
 
 
-@register("shared_email_groups", with_flow("select * from dup_emails"))
+@register("shared_email_groups", with_flow("select * from shared_emails"))
 def shared_email_groups(spark, d):
     return Q.shared_values(Q.dedup_rows(bronze(spark, d).customers), "email", "clientid")
 

@@ -40,7 +40,7 @@ def qualified_star_join(spark, d):
 
 
 @register("star_except", with_flow(
-    "select * exclude (double_attribution) from staging_01", gold=True))
+    "select * exclude (double_attribution) from flagged", gold=True))
 def star_except(spark, d):
     return G.attribution_staging(silver_layer(spark, d), 7).drop("double_attribution")
 
@@ -81,7 +81,7 @@ def filter_between_columns(spark, d):
 @register("cte_chain", with_flow(
     "select country, count(*) as customers from customers_silver group by country"))
 def cte_chain(spark, d):
-    """d0 (distinct) -> dup_emails (shared) -> clean (NOT IN) -> per-country count."""
+    """distinct rows -> shared emails -> NOT IN -> per-country count."""
     c = S.customers_clean(bronze(spark, d).customers)
     return c.groupBy("country").agg(F.count(F.lit(1)).alias("customers"))
 
@@ -186,10 +186,10 @@ def order_by_mixed(spark, d):
                                                     F.col("creation_date").desc())
 
 
-@register("preview_limit")
+@register("preview_limit", with_flow("select * from gold order by orderid limit 6", gold=True))
 def preview_limit(spark, d):
-    """``SELECT * FROM gold LIMIT 6``: any six rows (rows-only check)."""
-    return gold_table(spark, d).limit(6)
+    """Six rows of gold; by order id, so that the preview is the same on every run."""
+    return gold_table(spark, d).orderBy("orderid").limit(6)
 
 
 @register("top_k_by_key", with_flow(
@@ -306,7 +306,7 @@ def pandas_udf_flag(spark, d):
 
 
 @register("double_attribution_lag_only", with_flow(
-    "select orderid, marketingid, double_attribution from staging_01", gold=True))
+    "select orderid, marketingid, double_attribution from flagged", gold=True))
 def double_attribution_lag_only(spark, d):
     st = double_attribution_flag(G.attribution_pairs(silver_layer(spark, d), 7))
     return st.select("orderid", "marketingid", "double_attribution")

@@ -86,7 +86,7 @@ def _v5(spark, d):
 def dml_table(spark, d, through: int = 6) -> SnapshotTable:
     """Run the script on a new versioned table; commit i at T0 + i hours."""
     t = SnapshotTable(spark, fresh_path(spark, "customers_test"),
-                      comment="Staging table containing customer data with PII information")
+                      comment="customers of the row-change script; emails are personal data")
     at = lambda i: T0 + dt.timedelta(hours=i)
     t.create(bronze(spark, d).customers.schema, committed_at=at(0))
     steps = [("WRITE", lambda: _files(spark, d)[0].distinct(), {"mode": "append", "distinct": True}),
@@ -112,9 +112,13 @@ def dml_table(spark, d, through: int = 6) -> SnapshotTable:
 
 # ---- O4 - O8: row changes as operators ---------------------------------------------------
 
-@register("update_set_null", dml_sql("select * from v2"))
+@register("update_set_null", with_flow(f"""select distinct clientid,
+    case when clientid in {NULLED_KEYS} then null else email end as email, country, channel, creation_date
+    from customers_bronze""", silver=False))
 def update_set_null(spark, d):
-    return _v2(spark, d)
+    """Email set to NULL for six keys, over all distinct customers."""
+    return X.update_where(bronze(spark, d).customers.distinct(), F.col("clientid").isin(*NULLED_KEYS),
+                          {"email": F.lit(None).cast("string")})
 
 
 @register("merge_upsert_fill_null", dml_sql("select * from v3"))
@@ -132,10 +136,13 @@ def delete_by_key(spark, d):
     return _v5(spark, d)
 
 
-@register("insert_distinct", dml_sql("select * from v1"))
+@register("insert_distinct", with_flow("select distinct * from customers_bronze", silver=False))
 def insert_distinct(spark, d):
     """``CREATE TABLE`` + ``INSERT INTO t SELECT DISTINCT * FROM file``, read back."""
-    return dml_table(spark, d, through=1).read()
+    rows, path = bronze(spark, d).customers, fresh_path(spark, "insert_distinct")
+    P.create_table(spark, path, rows.schema)
+    rows.distinct().write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 # ---- S6, S7, O9 - O14: versions -----------------------------------------------------------
@@ -314,8 +321,9 @@ join (select 'customers_bronze' as t, count(*) as num_rows from customers_bronze
       union all select 'marketing_silver', count(*) from marketing_silver) r
   on s.table_name = r.t"""))
 def typed_table_schema(spark, d):
-    """The typed tables of the DDL, created and loaded (missing columns are NULL); returns
-    (table, column, type, nullable, rows) read back from storage."""
+    """The typed tables of the DDL, created and loaded (missing columns are NULL): (table, column,
+    type, nullable, rows). Columns, types and rows are what the stored files hold; whether a
+    column may be NULL is the declaration, since a Parquet read makes every column nullable."""
     from ..schemas import TABLES
     b = bronze(spark, d)
     s = silver_layer(spark, d)
@@ -329,11 +337,11 @@ def typed_table_schema(spark, d):
         cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
                 .alias(f.name) for f in schema.fields]
         # CREATE TABLE IF NOT EXISTS (typed, empty), then INSERT
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{name}")
+        P.create_table(spark, f"{root}/{name}", schema)
         df.select(*cols).write.mode("append").parquet(f"{root}/{name}")
-        back = spark.read.schema(schema).parquet(f"{root}/{name}")
+        back = spark.read.parquet(f"{root}/{name}")
         meta = spark.createDataFrame(
-            [(name, f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields],
+            [(name, f.name, f.dataType.simpleString(), schema[f.name].nullable) for f in back.schema.fields],
             "table_name string, col_name string, data_type string, nullable boolean")
         cnt = back.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("num_rows"))
         parts.append(meta.join(cnt, "table_name"))
@@ -345,25 +353,40 @@ def typed_table_schema(spark, d):
 
 # ---- O1 - O3, O5: insert-only merges -------------------------------------------------------
 
-@register("merge_insert_customers", with_flow("select * from customers_silver"))
+def _merged(spark, name, target, source, key):
+    """``target`` written as a table, ``source`` merged into it by appending the new rows."""
+    path = fresh_path(spark, name)
+    target.write.parquet(path)
+    return P.merge_silver(spark, path, source, key, target.schema)
+
+
+@register("merge_insert_customers", with_flow("""select clientid, email, country,
+    case when clientid % 3 = 0 then 'kept' else channel end as channel, creation_date from customers_silver"""))
 def merge_insert_customers(spark, d):
-    """Merge the cleaned customers into a silver table that already holds a third of them."""
+    """Merge the cleaned customers into a silver table that already holds a third of them, with
+    another channel: rows that are there must stay as they are."""
     clean = S.customers_clean(bronze(spark, d).customers)
-    return X.merge_insert(clean.filter(F.col("clientid") % 3 == 0), clean, "clientid")
+    target = clean.filter(F.col("clientid") % 3 == 0).withColumn("channel", F.lit("kept"))
+    return _merged(spark, "merge_customers", target, clean, "clientid")
 
 
-@register("merge_insert_orders", with_flow("select * from orders_silver"))
+@register("merge_insert_orders", with_flow("""select orderid, transactiondate, items,
+    case when orderid % 2 = 0 then -1 else amount end as amount, customerid from orders_silver"""))
 def merge_insert_orders(spark, d):
     s = silver_layer(spark, d)
     src = S.validated(bronze(spark, d).orders, "customerid", s.customers, "clientid")
-    return X.merge_insert(src.filter(F.col("orderid") % 2 == 0), src, "orderid")
+    target = src.filter(F.col("orderid") % 2 == 0).withColumn("amount", F.lit(-1))
+    return _merged(spark, "merge_orders", target, src, "orderid")
 
 
-@register("merge_insert_marketing", with_flow("select * from marketing_silver"))
+@register("merge_insert_marketing", with_flow("""select marketingid, marketingdate,
+    case when marketingid % 2 = 0 then cast(-1 as double) else discount end as discount, clicked,
+    targetedcustomerid from marketing_silver"""))
 def merge_insert_marketing(spark, d):
     s = silver_layer(spark, d)
     src = S.validated(bronze(spark, d).marketing, "targetedcustomerid", s.customers, "clientid")
-    return X.merge_insert(src.filter(F.col("marketingid") % 2 == 0), src, "marketingid")
+    target = src.filter(F.col("marketingid") % 2 == 0).withColumn("discount", F.lit(-1.0))
+    return _merged(spark, "merge_marketing", target, src, "marketingid")
 
 
 @register("merge_idempotent", with_flow("select * from customers_silver"))
@@ -407,24 +430,22 @@ def incremental_ingest(spark, d):
     """select orderid, date_trunc('second', transactiondate) as transactiondate, items, amount,
               customerid from orders_silver"""))
 def incremental_silver_merge(spark, d):
-    """Orders landing files streamed batch by batch into the versioned silver table with
-    the insert-only merge (FK-validated against silver customers)."""
+    """Orders landing files streamed batch by batch into silver: the insert-only merge appends
+    the new orders only (FK-validated against silver customers). A batch that is replayed finds
+    its orders there and appends nothing."""
     from ..streaming.ingest import ingest_each_batch
     root = fresh_path(spark, "stream_silver")
     P.land_files(spark, d, root, entities=("orders",))
     schema = bronze(spark, d).orders.schema
     customers = silver_layer(spark, d).customers
-    table = SnapshotTable(spark, f"{root}/silver/orders")
-    table.create(schema)
+    path = f"{root}/silver/orders"
 
     def apply(batch, batch_id):
-        src = S.validated(batch, "customerid", customers, "clientid")
-        table.commit(X.merge_insert(table.read(), src, "orderid"), "MERGE",
-                     {"batch": batch_id, "mode": "insert"})
+        P.merge_silver(spark, path, S.validated(batch, "customerid", customers, "clientid"), "orderid", schema)
 
     glob = f"{root}/landing/orders_00*.csv/*.csv"
     ingest_each_batch(spark, glob, schema, f"{root}/_ckpt", apply, max_files_per_trigger=1)
-    return table.read()
+    return spark.read.schema(schema).parquet(path)
 
 
 @register("catalog_tables", with_flow("""

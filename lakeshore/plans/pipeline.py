@@ -5,7 +5,7 @@ between the job's tasks), under one root in the shared folder:
 
     <root>/landing/<entity>_00N.csv/   '|'-separated export, one directory per file
     <root>/bronze/<entity>/            Parquet, appended per landing file
-    <root>/silver/<entity>/            versioned (insert-only merges, idempotent)
+    <root>/silver/<entity>/            Parquet, new rows appended (insert-only merges, idempotent)
     <root>/gold/order_attribution/     overwritten on each run (drop + CTAS)
 """
 
@@ -17,11 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.changes import merge_insert
+from ..operators.joins import anti_join
 from ..session import fresh_path
 from ..sources import csv as C
 from ..sources import fixtures
-from ..sources.snapshots import SnapshotTable
 from . import gold as G
 from . import silver as S
 
@@ -80,16 +79,20 @@ class PipelineRun:
         return out
 
 
-def merge_silver(spark: SparkSession, table: SnapshotTable, source: DataFrame, key: str,
+def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
+    """``CREATE TABLE IF NOT EXISTS``: an empty Parquet table, unless something is there."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+
+
+def merge_silver(spark: SparkSession, path: str, source: DataFrame, key: str,
                  schema: StructType) -> DataFrame:
-    """Insert-only merge of ``source`` into the versioned silver table; one commit."""
-    try:
-        target = table.read()
-    except KeyError:
-        table.create(schema)
-        target = table.read()
-    table.commit(merge_insert(target, source, key), "MERGE", {"key": key, "mode": "insert"})
-    return table.read()
+    """Insert-only merge of ``source`` into the Parquet table at ``path``: rows whose key is not
+    there are appended, and no stored row is written again. One writer per table; a merge that
+    is repeated after a failure finds its rows there."""
+    create_table(spark, path, schema)
+    new = anti_join(source.select(*schema.names), spark.read.schema(schema).parquet(path), key)
+    new.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def parse_flag(value) -> bool:
@@ -121,7 +124,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None, days
     schemas = fixture_schemas(spark, sf_dir)
     files = land_files(spark, sf_dir, root)
     bronze = {e: load_bronze(spark, files[e], schemas[e], f"{root}/bronze/{e}") for e in ENTITIES}
-    tables = {e: SnapshotTable(spark, f"{root}/silver/{e}") for e in ENTITIES}
+    tables = {e: f"{root}/silver/{e}" for e in ENTITIES}
     silver = {}
     for _ in range(runs):
         cs = merge_silver(spark, tables["customers"], S.customers_clean(bronze["customers"]),
@@ -142,23 +145,14 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None, days
 
 
 def register_catalog(spark: SparkSession, run: PipelineRun, database: str) -> list[str]:
-    """``CREATE SCHEMA IF NOT EXISTS`` + ``USE`` and one external Parquet table per written
-    layer (bronze / silver current version / gold), all located in the run's folder."""
+    """``CREATE SCHEMA IF NOT EXISTS`` and one external Parquet table per written layer of the
+    run. The caller's current database stays as it is."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{run.root}/{database}.db'")
-    spark.sql(f"USE `{database}`")
-    tables = {}
-    for ent, df in run.bronze.items():
-        tables[f"{ent}_bronze"] = df
-    for ent, df in run.silver.items():
-        tables[f"{ent}_silver"] = df
-    tables["gold_order_attribution"] = run.gold
-    for name, df in tables.items():
-        paths = df.inputFiles()
-        location = paths[0].rsplit("/", 1)[0] if paths else None
-        if location is None:
-            continue
+    tables = {f"{ent}_{layer}": (df, f"{run.root}/{layer}/{ent}")
+              for layer, found in (("bronze", run.bronze), ("silver", run.silver))
+              for ent, df in found.items()}
+    tables["gold_order_attribution"] = (run.gold, f"{run.root}/gold/order_attribution")
+    for name, (df, path) in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.catalog.createTable(f"{database}.{name}", path=location, source="parquet",
-                                  schema=df.schema)
-    spark.sql("USE default")
+        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet", schema=df.schema)
     return sorted(tables)

@@ -36,18 +36,20 @@ def build_session(master: str | None = None, app: str = "lakeshore",
     return b.getOrCreate()
 
 
-def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+           split_bytes: int = 1 << 30, least_block_bytes: int = 32 << 10) -> dict:
     """Settings for a cluster run over ``input_bytes`` of input.
 
-    Enough shuffle partitions that each holds about ``target_partition_bytes`` before AQE
-    coalesces (at least two waves of tasks), scan splits of the same size, and AQE's
-    advisory size matched to it, so sort and aggregation buffers fit executor memory and
-    spill only at the edges.
+    Shuffle partitions of about ``target_partition_bytes`` before AQE coalesces (at least two
+    waves of tasks), but never so many that a map task of ``split_bytes`` would write blocks
+    under ``least_block_bytes``: the number of blocks is map tasks times partitions, and small
+    ones make the fetch, not the data, the cost. Larger partitions spill instead.
     """
     parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(parts, max(2 * total_cores, split_bytes // least_block_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
     }

@@ -33,8 +33,11 @@ def test_silver_reads_are_pruned_and_pushed(spark, silver):
 
 
 def test_sizing():
-    conf = sizing(100 * 2**40, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    size = 100 * 2**40
+    conf = sizing(size, 8000)
+    maps, parts = size // int(conf["spark.sql.files.maxPartitionBytes"]), int(conf["spark.sql.shuffle.partitions"])
+    assert parts >= 2 * 8000 and size / (maps * parts) >= 32 << 10      # bytes per shuffle block
+    assert sizing(10 * 2**40, 400)["spark.sql.shuffle.partitions"] == "32768"
     assert sizing(1, 8)["spark.sql.shuffle.partitions"] == "16"
 
 

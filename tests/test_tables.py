@@ -74,3 +74,31 @@ def test_bronze_append_twice_doubles_silver_merge_does_not(spark):
     run = P.run_pipeline(spark, SF_SMALL, runs=2)
     counts = dict((r.layer, r.rows) for r in run.counts().collect())
     assert counts["silver_customers"] == 144 and counts["gold_order_attribution"] == 132
+
+
+def test_recreate_flag_drops_tables_first(spark):
+    from lakeshore.plans import pipeline as P
+    assert [P.parse_flag(v) for v in ("True", "1", True, "False", "0", "", " no ", False)] == \
+        [True] * 3 + [False] * 5
+    root = fresh_path(spark, "t_recreate")
+
+    def bronze(flag):
+        run = P.run_pipeline(spark, SF_SMALL, root=root, recreate_tables=flag)
+        return dict((r.layer, r.rows) for r in run.counts().collect())
+
+    first, again, recreated = bronze("True"), bronze("False"), bronze("True")    # nothing to drop at first
+    assert again["bronze_orders"] == 2 * first["bronze_orders"]
+    assert again["silver_orders"] == first["silver_orders"] and recreated == first
+
+
+def test_insert_only_merge_appends(spark):
+    from lakeshore.plans import pipeline as P
+    path = fresh_path(spark, "t_append")
+    old = spark.createDataFrame([(1, "old"), (2, "old")], "key int, value string")
+    old.write.parquet(path)
+    files = {f for f in spark.read.parquet(path).inputFiles()}
+    src = spark.createDataFrame([(2, "new"), (3, "new"), (None, "new")], "key int, value string")
+    out = P.merge_silver(spark, path, src, "key", old.schema)
+    assert sorted(out.collect(), key=repr) == sorted(
+        [(1, "old"), (2, "old"), (3, "new"), (None, "new")], key=repr)
+    assert files <= set(out.inputFiles())                  # stored rows were not written again
