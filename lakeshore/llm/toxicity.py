@@ -138,7 +138,11 @@ class Lexicon:
 
 
 class Scorer:
-    """Features of texts under a lexicon; chunks without a hit are remembered as such."""
+    """Features of texts under a lexicon.
+
+    Remembered chunks only save matching again: a text is scored by its own hits, and either
+    memory is cleared when it is full.
+    """
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
@@ -150,26 +154,28 @@ class Scorer:
         chunks = text.lower().split()
         found = set(chunks)
         new = found - self.misses
+        hits = {}
         if new:
             if len(self.misses) > CACHED_CHUNKS:
                 self.misses.clear()
             for c in new:
-                if c not in self.hits:
+                hit = self.hits.get(c)
+                if hit is None:
                     hit = self.lexicon.match(c.strip(STRIP))
-                    if hit[0]:
-                        if len(self.hits) < CACHED_CHUNKS:
-                            self.hits[c] = hit
-                    else:
+                    if not hit[0]:
                         self.misses.add(c)
-        hit_chunks = [c for c in found if c in self.hits]
-        if not hit_chunks:
+                        continue
+                    if len(self.hits) >= CACHED_CHUNKS:
+                        self.hits.clear()
+                    self.hits[c] = hit
+                hits[c] = hit
+        if not hits:
             return [0.0] * FEATURES
-        wanted = set(hit_chunks)
-        places = [i for i, c in enumerate(chunks) if c in wanted]
+        places = [i for i, c in enumerate(chunks) if c in hits]
         exact = near = quoted = best = 0.0
         quoted_at = _quoted(chunks, places)
         for k, i in enumerate(places):
-            weight, errors = self.hits[chunks[i]]
+            weight, errors = hits[chunks[i]]
             around = sum(1 for j in (places[k - 1] if k else -99, places[k + 1] if k + 1 < len(places) else -99)
                          if abs(j - i) <= WINDOW)
             you = any(c.strip(STRIP) in ADDRESS for c in chunks[max(0, i - WINDOW):i + WINDOW + 1])

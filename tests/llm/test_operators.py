@@ -325,3 +325,13 @@ def test_lexicon_matches_misspellings():
     assert lex.match("bomenteco") == (1.5, 0) and lex.match("bomentx") == (0.0, 0)
     score = toxicity.Scorer(lex).features
     assert score('he said "idiot" to me')[2] > 0 and score("you idiot")[0] > 0 and score("") == [0.0] * 6
+
+
+def test_scores_do_not_depend_on_the_cache(monkeypatch):
+    lex = toxicity.Lexicon({"idiot": 2.0, "moron": 1.0, "scum": 1.0}, {"bomente": 1.5})
+    texts = ["you idiot and moron", "an idiott, a moronn: bomenter!", "plain words", "scum \"idiots\" bomented",
+             "you idiot and moron"]
+    whole = [toxicity.Scorer(lex).features(t) for t in texts]
+    monkeypatch.setattr(toxicity, "CACHED_CHUNKS", 1)
+    scorer = toxicity.Scorer(lex)
+    assert [scorer.features(t) for t in texts] == whole and len(scorer.hits) <= 1
