@@ -10,6 +10,8 @@ segments of texts of different languages, taken from a bounded, hashed sample of
 documents (``sample_docs`` per language, ``segments`` windows from anywhere in each). Prediction
 reads whole texts: words are cut into stretches of ``STRETCH``, a product of transfer matrices
 per stretch links them exactly, so texts of any length take a bounded number of vector steps.
+Runs of more than 40 letters (scripts without spaces, joined text) are cut into successive
+pieces that are labelled each; ``n_words`` counts the runs.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; repeated rows
 are labelled each; without any labelled row everything is ``und``; other columns are ignored.
@@ -29,7 +31,10 @@ from ..session import materialize
 from .common import crc32_mod, table, uniform
 from .packing import _spans
 
-WORD = re.compile(r"[^\W\d_]+")
+RUN = re.compile(r"[^\W\d_]+")
+LONGEST = 40
+#: Runs of letters; longer ones in successive pieces.
+WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
 STRETCH = 128
 BATCH_WORDS = 120_000
 CACHED_WORDS = 150_000
@@ -39,7 +44,7 @@ DIMENSION = 1 << 16
 
 def word_features(word: str) -> list[str]:
     """Affixes, inner n-grams and the word itself (the lexicon feature)."""
-    w = f"^{word[:40]}$"
+    w = f"^{word}$"
     grams = {w[i:i + 2] for i in range(len(w) - 1)}
     grams.update(w[i:i + 3] for i in range(len(w) - 2))
     grams.update((w[:4], w[-4:], w[:5], w[-5:], w))
@@ -305,7 +310,8 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
 
 def label(model: Field, texts) -> list[tuple[str, float, int]]:
     """(language, its share of the letters, words) of each text."""
-    words = [WORD.findall(t.lower()) for t in texts]
+    lower = [t.lower() for t in texts]
+    words = [WORD.findall(t) for t in lower]
     out = [("und", 0.0, 0)] * len(words)
     filled = [i for i, w in enumerate(words) if w]
     rows = model.rows([words[i] for i in filled])
@@ -314,7 +320,8 @@ def label(model: Field, texts) -> list[tuple[str, float, int]]:
             letters = np.fromiter(map(len, words[i]), float, len(words[i]))
             share = letters @ post / letters.sum()
             best = int(share.argmax())
-            out[i] = (model.langs[best], min(1.0, float(share[best])), len(words[i]))
+            n = len(words[i]) if letters.max() < LONGEST else len(RUN.findall(lower[i]))
+            out[i] = (model.langs[best], min(1.0, float(share[best])), n)
     return out
 
 

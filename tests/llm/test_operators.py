@@ -335,3 +335,17 @@ def test_scores_do_not_depend_on_the_cache(monkeypatch):
     monkeypatch.setattr(toxicity, "CACHED_CHUNKS", 1)
     scorer = toxicity.Scorer(lex)
     assert [scorer.features(t) for t in texts] == whole and len(scorer.hits) <= 1
+
+
+def _two_languages():
+    """A field that tells words of a from words of b by their letters."""
+    index = {f: k for k, c in enumerate("ab") for f in (c * 2, c * 3)}
+    index = {f: i for i, f in enumerate(index)}
+    weights = np.array([[2.0, -2.0] if f[0] == "a" else [-2.0, 2.0] for f in index])
+    return langid.Field(["a", "b"], index, weights, np.zeros((2, 2)), np.zeros(2))
+
+
+def test_langid_long_runs_are_read_to_the_end():
+    lang, share, n = langid.label(_two_languages(), ["a" * 40 + "b" * 120])[0][:3]
+    assert (lang, n) == ("b", 1) and abs(share - 0.75) < 0.05
+    assert langid.label(_two_languages(), ["a" * 40 + " " + "b" * 41 + " aa"])[0][2] == 3
