@@ -7,7 +7,9 @@ document's language is the one with the greatest expected share of its words' le
 
 The field is trained by the gradient of its conditional likelihood on sequences spliced from
 segments of texts of different languages, taken from a bounded, hashed sample of the labelled
-documents (``sample_docs`` per language, ``segments`` windows from anywhere in each). Prediction
+documents (``sample_docs`` per language, ``segments`` windows from anywhere in each); every
+labelled language and every sampled window is used. Past ``4 * DIMENSION`` features the rarer
+ones share weights by hash. Prediction
 reads whole texts: words are cut into stretches of ``STRETCH``, a product of transfer matrices
 per stretch links them exactly, so texts of any length take a bounded number of vector steps.
 Runs of more than 40 letters (scripts without spaces, joined text) are cut into successive
@@ -20,6 +22,7 @@ are labelled each; without any labelled row everything is ``und``; other columns
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,8 @@ BATCH_WORDS = 120_000
 CACHED_WORDS = 150_000
 SEGMENT = 32
 DIMENSION = 1 << 16
+#: Training sequences, times languages, whose marginals are held at a time.
+BLOCK = 1 << 14
 
 
 def word_features(word: str) -> list[str]:
@@ -106,8 +111,9 @@ class Field:
         opening = np.zeros(n, bool)
         opening[first] = True
         # transfer matrix of each stretch: labels before it -> labels at its end
-        whole = np.broadcast_to(np.eye(k), (n, k, k)).copy()
-        for t in range(STRETCH):
+        linked = int(per.max()) > 1
+        whole = np.broadcast_to(np.eye(k), (n, k, k)).copy() if linked else None
+        for t in range(STRETCH if linked else 0):  # single stretches need none
             on = np.nonzero(real[t])[0]
             if not len(on):
                 break
@@ -150,7 +156,10 @@ class Field:
 
 def train(segments: pd.DataFrame, langs: list[str], sequences: int = 3000, parts: int = 4, rounds: int = 60,
           min_count: int = 2, seed: int = 7) -> Field:
-    """Fit the field by Adam on spliced sequences; ``segments`` has lang and words."""
+    """Fit the field by Adam on spliced sequences; ``segments`` has lang and words.
+
+    There are at least ``sequences``, and as many more as it takes to use every segment.
+    """
     rng = np.random.default_rng(seed)
     k, code = len(langs), {lang: i for i, lang in enumerate(langs)}
     seen: dict[str, int] = {}
@@ -158,15 +167,23 @@ def train(segments: pd.DataFrame, langs: list[str], sequences: int = 3000, parts
         for w in set(words):
             for f in word_features(w):
                 seen[f] = seen.get(f, 0) + 1
-    index = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= min_count)[:4 * DIMENSION])}
-    by = [[w for w, lang in zip(segments["words"], segments["lang"]) if lang == x and len(w)] for x in langs]
+    # the most frequent features have rows of their own, the others share them by hash
+    often = sorted((f for f, n in seen.items() if n >= min_count), key=lambda f: (-seen[f], f))
+    index = {f: i if i < 4 * DIMENSION else zlib.crc32(f.encode("utf-8", "surrogatepass")) % (4 * DIMENSION)
+             for i, f in enumerate(often)}
+    by = [[] for _ in langs]
+    for ws, lang in zip(segments["words"], segments["lang"]):
+        if len(ws):
+            by[code[lang]].append(ws)
     present = [i for i in range(k) if by[i]]
+    order, used = {y: rng.permutation(len(by[y])) for y in present}, dict.fromkeys(present, 0)
     words, gold = [], []
-    for _ in range(sequences):
+    while len(words) < sequences or any(used[y] < len(by[y]) for y in present):
         ws, ys = [], []
         y = int(rng.choice(present))
         for _ in range(parts):
-            seg = by[y][rng.integers(len(by[y]))]
+            seg = by[y][order[y][used[y] % len(by[y])]]
+            used[y] += 1
             cut = int(rng.integers(4, SEGMENT + 1))
             ws.extend(seg[:cut])
             ys.extend([y] * len(seg[:cut]))
@@ -183,29 +200,31 @@ def train(segments: pd.DataFrame, langs: list[str], sequences: int = 3000, parts
     ids, owner = np.array(ids, np.int64), np.array(owner, np.int64)
     rows = [np.array([vocabulary[w] for w in ws]) for ws in words]
     flat, ys = np.concatenate(rows), np.concatenate(gold)
-    first = np.r_[0, np.cumsum([len(r) for r in rows])[:-1]]
+    first = np.r_[0, np.cumsum([len(r) for r in rows])]
     inner = np.ones(len(flat), bool)
-    inner[first] = False
-    field = Field(langs, index, np.zeros((max(1, len(index)), k)), np.zeros((k, k)), np.zeros(k))
+    inner[first[:-1]] = False
+    height = max(1, min(len(index), 4 * DIMENSION))
+    field = Field(langs, index, np.zeros((height, k)), np.zeros((k, k)), np.zeros(k))
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (field.weights, field.trans)]
-    truth = np.zeros((len(flat), k))
-    truth[np.arange(len(flat)), ys] = 1
     true_pairs = np.zeros((k, k))
     np.add.at(true_pairs, (ys[:-1][inner[1:]], ys[1:][inner[1:]]), 1)
-    n = len(flat)
+    n, block = len(flat), max(1, BLOCK // k)
     for r in range(1, rounds + 1):
         field.scores = np.zeros((len(vocabulary), k))
         for j in range(k):
             field.scores[:, j] = np.bincount(owner, field.weights[ids, j], len(vocabulary))
-        post = np.concatenate(field.marginals(rows))
-        off = np.zeros((len(vocabulary), k))
-        for j in range(k):
-            off[:, j] = np.bincount(flat, (post - truth)[:, j], len(vocabulary))
+        off, pairs = np.zeros((len(vocabulary), k)), np.zeros((k, k))
+        for lo in range(0, len(rows), block):
+            a, b = first[lo], first[min(lo + block, len(rows))]
+            post = np.concatenate(field.marginals(rows[lo:lo + block]))
+            # expected neighbours, from the marginals of adjacent words under the current step
+            pairs += _expected_pairs(field, post, inner[a:b])
+            post[np.arange(b - a), ys[a:b]] -= 1
+            for j in range(k):
+                off[:, j] += np.bincount(flat[a:b], post[:, j], len(vocabulary))
         g_weights = np.zeros_like(field.weights)
         for j in range(k):
             g_weights[:, j] = np.bincount(ids, off[owner, j], len(g_weights))
-        # expected neighbours, from the marginals of adjacent words under the current step
-        pairs = _expected_pairs(field, flat, post, inner)
         for p, g, (m, v) in zip((field.weights, field.trans), (g_weights / n + 1e-6 * field.weights,
                                                                 (pairs - true_pairs) / n), state):
             m += 0.1 * (g - m)
@@ -215,7 +234,7 @@ def train(segments: pd.DataFrame, langs: list[str], sequences: int = 3000, parts
     return field
 
 
-def _expected_pairs(field: Field, flat: np.ndarray, post: np.ndarray, inner: np.ndarray) -> np.ndarray:
+def _expected_pairs(field: Field, post: np.ndarray, inner: np.ndarray) -> np.ndarray:
     """Expected label pairs of neighbouring words.
 
     p(y, y') is proportional to post(y) step(y, y') / sum over y'' of step(y, y'') r(y'') * r(y'),
@@ -233,7 +252,6 @@ def _expected_pairs(field: Field, flat: np.ndarray, post: np.ndarray, inner: np.
 def _segments(docs: DataFrame, segments: int) -> DataFrame:
     """``segments`` windows of SEGMENT words, spread by hash over each whole text."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import zlib
         for batch in batches:
             out = []
             for lang, text in zip(batch["lang"], batch["text"]):
@@ -250,22 +268,21 @@ def _segments(docs: DataFrame, segments: int) -> DataFrame:
     return docs.mapInPandas(cut, "lang string, words array<string>")
 
 
-def fit(docs: DataFrame, keep: Column, sample_docs: int = 1000, segments: int = 3, max_langs: int = 200) -> Field | None:
+def fit(docs: DataFrame, keep: Column, sample_docs: int = 1000, segments: int = 3) -> Field | None:
     """Train on at most about ``sample_docs`` labelled documents per language.
 
-    The driver gets sample_docs * segments windows of SEGMENT words per language, for at most
-    ``max_langs`` languages (the most frequent ones).
+    The driver gets sample_docs * segments windows of SEGMENT words per language, so its work
+    grows with the number of languages; none is left out.
     """
     rows = docs.filter(keep & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.col("n").desc(), "lang").limit(max_langs).collect()}
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_docs / n))).otherwise(share)
-    some = rows.filter(uniform("doc_id", F.lit(11)) < share).select("lang", "text")
+    shares = docs.sparkSession.createDataFrame(
+        [(lang, min(1.0, sample_docs / n)) for lang, n in sorted(counts.items())], "lang string, share double")
+    some = (rows.join(F.broadcast(shares), "lang")  # a row per language
+            .filter(uniform("doc_id", F.lit(11)) < F.col("share")).select("lang", "text"))
     windows = materialize(_segments(some, segments), "lang_segments").toPandas()
     if not len(windows):
         return None

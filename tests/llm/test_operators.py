@@ -349,3 +349,28 @@ def test_langid_long_runs_are_read_to_the_end():
     lang, share, n = langid.label(_two_languages(), ["a" * 40 + "b" * 120])[0][:3]
     assert (lang, n) == ("b", 1) and abs(share - 0.75) < 0.05
     assert langid.label(_two_languages(), ["a" * 40 + " " + "b" * 41 + " aa"])[0][2] == 3
+
+
+def test_langid_trains_on_every_window_and_feature(monkeypatch):
+    words = {"a": "kala", "b": "\u4e00\u4e8c"}
+    segments = pd.DataFrame([(x, [w + f"{chr(97 + i % 26)}{chr(97 + i // 26)}" for w in (word, word)])
+                             for x, word in words.items() for i in range(60)], columns=["lang", "words"])
+    field = langid.train(segments, ["a", "b"], sequences=1, rounds=2, min_count=1)
+    vocabulary = {w for ws in segments["words"] for w in ws}
+    assert all(np.abs(field.emit([w])).sum() > 0 and np.abs(field.weights[field.index[f"^{w}$"]]).sum() > 0
+               for w in vocabulary)
+    # past the rows of the frequent features the others share rows, in whatever script they are
+    monkeypatch.setattr(langid, "DIMENSION", 8)
+    small = langid.train(segments, ["a", "b"], sequences=1, rounds=2, min_count=1)
+    assert small.weights.shape == (32, 2) and set(small.index) == set(field.index)
+    blocks = langid.train(segments, ["a", "b"], sequences=300, rounds=3)
+    monkeypatch.setattr(langid, "BLOCK", 7)
+    again = langid.train(segments, ["a", "b"], sequences=300, rounds=3)
+    assert np.allclose(blocks.weights, again.weights) and np.allclose(blocks.trans, again.trans)
+
+
+def test_langid_knows_rare_languages(spark, monkeypatch):
+    rows = [(i, "zu zu", f"l{i % 250:03}") for i in range(500)]
+    monkeypatch.setattr(langid, "train", lambda windows, langs: (len(windows), langs))
+    windows, langs = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert windows == 1500 and langs == [f"l{i:03}" for i in range(250)]
