@@ -15,7 +15,7 @@ from lakeshore.session import materialize, ship_package
 
 #: A document is rejected from this toxicity score on.
 TOXIC_FROM = 0.3
-#: A document is rejected if it has no word, or its best language has a smaller share of it.
+#: A document is rejected if it has no word, or its words' best languages are less sure on average.
 LANGUAGE_LEAST = 0.4
 
 
@@ -27,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: one that holds at least LANGUAGE_LEAST of the letters."""
+    """Documents whose letters have languages that are sure to LANGUAGE_LEAST on average."""
     ship_package(spark)
     return langid.keep_identified(docs, langid.fit(docs, F.lit(True)), LANGUAGE_LEAST)
 

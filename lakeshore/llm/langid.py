@@ -315,7 +315,8 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
         model = Field(*shared.value)
         for batch in batches:
             for lo, hi in _spans(batch["text"], 1_000_000):
-                frame = pd.DataFrame(label(model, batch["text"].iloc[lo:hi]), columns=["lang_pred", "score", "n_words"])
+                frame = pd.DataFrame(label(model, batch["text"].iloc[lo:hi]), columns=["lang_pred", "score", "n_words", "sure"])
+                frame = frame.drop(columns="sure")
                 frame.insert(0, "doc_id", batch["doc_id"].iloc[lo:hi].to_numpy())
                 yield frame
 
@@ -325,11 +326,11 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
             .withColumn("doc_id", F.col("doc_id").cast(id_type)))
 
 
-def label(model: Field, texts) -> list[tuple[str, float, int]]:
-    """(language, its share of the letters, words) of each text."""
+def label(model: Field, texts) -> list[tuple[str, float, int, float]]:
+    """(language, its share of the letters, words, how sure each letter's language is) of each text."""
     lower = [t.lower() for t in texts]
     words = [WORD.findall(t) for t in lower]
-    out = [("und", 0.0, 0)] * len(words)
+    out = [("und", 0.0, 0, 0.0)] * len(words)
     filled = [i for i, w in enumerate(words) if w]
     rows = model.rows([words[i] for i in filled])
     for a, b in _lined(rows):
@@ -338,13 +339,16 @@ def label(model: Field, texts) -> list[tuple[str, float, int]]:
             share = letters @ post / letters.sum()
             best = int(share.argmax())
             n = len(words[i]) if letters.max() < LONGEST else len(RUN.findall(lower[i]))
-            out[i] = (model.langs[best], min(1.0, float(share[best])), n)
+            out[i] = (model.langs[best], min(1.0, float(share[best])), n,
+                      min(1.0, float(letters @ post.max(1) / letters.sum())))
     return out
 
 
 def keep_identified(docs: DataFrame, field: Field | None, least: float) -> DataFrame:
-    """Rows of ``docs`` whose text has a language with at least ``least`` of its letters.
+    """Rows of ``docs`` whose text's letters have languages that are sure to ``least`` on average.
 
+    Each word counts with its own best language, so a text of several languages is as good as a
+    text of one. A text without a letter is left out.
     Without a model nothing can be told, and every row stays. Rows stay in the JVM; only the
     text column goes to the model.
     """
@@ -359,7 +363,7 @@ def keep_identified(docs: DataFrame, field: Field | None, least: float) -> DataF
         for texts in batches:
             kept = []
             for lo, hi in _spans(texts, 1_000_000):
-                kept.extend(lang != "und" and score >= least for lang, score, _ in label(model, texts.iloc[lo:hi]))
+                kept.extend(n > 0 and sure >= least for _, _, n, sure in label(model, texts.iloc[lo:hi]))
             yield pd.Series(kept, dtype=bool)
 
     return docs.filter(identified(F.coalesce(F.col("text").cast("string"), F.lit(""))))

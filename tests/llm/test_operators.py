@@ -374,3 +374,12 @@ def test_langid_knows_rare_languages(spark, monkeypatch):
     monkeypatch.setattr(langid, "train", lambda windows, langs: (len(windows), langs))
     windows, langs = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
     assert windows == 1500 and langs == [f"l{i:03}" for i in range(250)]
+
+
+def test_language_stage_keeps_mixed_documents(spark):
+    index = {c * 2: i for i, c in enumerate("abc")}
+    field = langid.Field(["a", "b", "c"], index, 8 * np.eye(3) - 4, np.zeros((3, 3)), np.zeros(3))
+    docs = spark.createDataFrame([(1, "aaaa bbbb cccc"), (2, "aaaa aaaa"), (3, "12 !"), (4, None), (5, "xyz zyx"), (6, "")],
+                                 "doc_id long, text string")
+    kept = langid.keep_identified(docs, field, 0.4)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2] and kept.columns == docs.columns
