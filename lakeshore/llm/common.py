@@ -49,6 +49,37 @@ def global_rank(df: DataFrame, order: list[Column], name: str, rank: str = "rank
             .drop("__range", "__place", "__base"))
 
 
+def sorted_copy(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` written in sorted order, read back with ``rank``: the 0-based place in the whole table.
+
+    The rows are dealt by ranges of the sort key, each range is sorted and written as one file, so
+    a row's rank is its place in its file plus the rows of the files before: no window, and one
+    shuffle. Rows with equal keys are told apart by where they were read, so a heavy key is spread
+    over ranges too; they may take any order among themselves. The files fix the ranks for good.
+    ``order`` must not hold long strings: range boundaries are sampled to the driver.
+    """
+    keys = [o.asc_nulls_first() for o in order] + [F.col("__at").asc()]
+    dealt = (df.withColumn("__at", F.monotonically_increasing_id())
+             .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__at")
+             .withColumn("__range", F.spark_partition_id()))
+    kept = materialize(dealt, name)
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (kept.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))  # a row per file
+             .select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base")))
+    return (kept.withColumn("rank", F.col("_metadata.row_index")).join(bases, "__range")
+            .withColumn("rank", F.col("__base") + F.col("rank")).drop("__range", "__base"))
+
+
+def join_same(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns that are equal or both null; the right side's copies of them go."""
+    other = right.withColumnsRenamed({n: f"__right_{k}" for k, n in enumerate(names)})
+    keys = [f"__right_{k}" for k in range(len(names))]
+    on = F.lit(True)
+    for n, k in zip(names, keys):
+        on = on & F.col(n).eqNullSafe(F.col(k))
+    return left.join(other, on, how).drop(*keys)
+
+
 def _sorted(c: Column) -> bool:
     text = str(c)
     return " ASC" in text or " DESC" in text

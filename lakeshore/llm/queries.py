@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from ..session import ship_package
-from . import chat, fingerprints, html, jaccard, langid, mixing, packing, topk, toxicity, wordpiece
+from . import chat, fingerprints, html, jaccard, langid, mixing, packing, repair, topk, toxicity, wordpiece
 
-MODULES = (mixing, fingerprints, chat, packing, langid, html, wordpiece, jaccard, topk, toxicity)
+MODULES = (mixing, fingerprints, chat, packing, langid, html, wordpiece, jaccard, topk, toxicity, repair)
 
 
 def _shipped(fn):
