@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from ..session import ship_package
-from . import chat, fingerprints, html, jaccard, langid, mixing, packing, repair, tokenfiles, topk, toxicity, wordpiece
+from . import (chat, fingerprints, html, jaccard, langid, merkle, mixing, packing, repair, tokenfiles, topk, toxicity,
+               wordpiece)
 
-MODULES = (mixing, fingerprints, chat, packing, langid, html, wordpiece, jaccard, topk, toxicity, repair, tokenfiles)
+MODULES = (mixing, fingerprints, chat, packing, langid, html, wordpiece, jaccard, topk, toxicity, repair, tokenfiles,
+           merkle)
 
 
 def _shipped(fn):
