@@ -205,10 +205,3 @@ def first_per_key(df: DataFrame, *, key: str = "orderid", rank: Sequence[str] =
              .filter(F.col("__rank") == 1))
     return (first.select("*", F.row_number().over(w).alias("__rn"))
             .filter((F.col("__rn") == 1) | F.col(key).isNull()).select(*[f"`{c}`" for c in df.columns]))
-
-
-def multi_attribution_orders(pairs: DataFrame, *, key: str = "orderid",
-                             campaign: str = "marketingid", alias: str = "m_rec") -> DataFrame:
-    """Orders attributed to more than one distinct campaign: (key, m_rec)."""
-    return (pairs.filter(F.col(campaign).isNotNull()).groupBy(key)
-            .agg(F.count_distinct(campaign).alias(alias)).filter(F.col(alias) > 1))

@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.attribution import (RANK, best_in_window, double_attribution_flag,
-                                     first_per_key, multi_attribution_orders)
+from ..operators import sweep
+from ..operators.attribution import RANK, best_in_window, double_attribution_flag, first_per_key
 from ..operators.joins import band_join_left, semi_join
 from ..session import materialize
 
@@ -33,20 +33,27 @@ def attribution_pairs(s: Silver, days: int = 7) -> DataFrame:
 
 
 def attribution_staging(s: Silver, days: int = 7) -> DataFrame:
-    """All pairs with the ``double_attribution`` flag (0 on the first pair of each order)."""
-    return double_attribution_flag(attribution_pairs(s, days))
+    """All pairs with the ``double_attribution`` flag (0 on the first pair of each order).
+
+    The flag reads the pairs twice (first row per order, join back), so they are written once
+    instead of running the interval join twice.
+    """
+    return double_attribution_flag(materialize(attribution_pairs(s, days), "attribution_pairs"))
+
+
+def multi_attribution_orders(s: Silver, days: int = 7) -> DataFrame:
+    """Orders under more than one distinct clicked campaign, with their number; no pairs."""
+    return sweep.multi_attribution_orders(s.orders, clicked(s.marketing), days=days)
 
 
 def double_attribution_rows(s: Silver, days: int = 7) -> DataFrame:
     """Staging rows of the orders matched to more than one distinct campaign.
 
-    The staging pairs are written once and read twice (distinct count per order, then
-    the semi join back), instead of running the interval join twice. The count is a
-    partial + final aggregate and the semi join can be split by AQE, so an order with
-    very many pairs is not held by one task.
+    The orders are found by the sweep; only they meet their campaigns as pairs, and the flag is
+    about the pairs of one order, so it is the same as over all orders.
     """
-    st = materialize(attribution_staging(s, days), "attribution_staging")
-    return semi_join(st, multi_attribution_orders(st), "orderid")
+    found = materialize(semi_join(s.orders, multi_attribution_orders(s, days), "orderid"), "multi_attribution")
+    return attribution_staging(Silver(s.customers, found, s.marketing), days)
 
 
 def best_attribution(s: Silver, days: int = 7) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import attribution as attr
 from ..operators import joins as J
 from ..operators import quality as Q
+from ..operators import sweep
 from . import gold as G
 from . import reports as R
 from . import silver as S
@@ -85,9 +86,8 @@ def revenue_by_month_country_hot_customer(spark, d):
        where marketingid is not null group by orderid having count(distinct marketingid) > 1""",
     gold=True, hot_customer=HOT_CUSTOMER))
 def multi_attribution_orders_hot_customer(spark, d):
-    """Distinct campaigns per order over all pairs, with the hot customer's many pairs."""
-    s = silver_layer(spark, d, hot_customer=HOT_CUSTOMER)
-    return attr.multi_attribution_orders(G.attribution_pairs(s, 7))
+    """Distinct campaigns per order when one customer holds a third of orders and campaigns."""
+    return G.multi_attribution_orders(silver_layer(spark, d, hot_customer=HOT_CUSTOMER), 7)
 
 
 # ---- J2, W1, W2, C6: attribution internals ------------------------------------------------
@@ -123,7 +123,7 @@ def best_in_window_orders(spark, d):
        where marketingid is not null group by orderid having count(distinct marketingid) > 1""",
     gold=True))
 def multi_attribution_orders(spark, d):
-    return attr.multi_attribution_orders(G.attribution_staging(silver_layer(spark, d), 7))
+    return G.multi_attribution_orders(silver_layer(spark, d), 7)
 
 
 @register("double_attribution_rows", with_flow(
@@ -132,6 +132,21 @@ def double_attribution_rows(spark, d):
     return G.double_attribution_rows(silver_layer(spark, d), 7)
 
 
+@register("campaigns_per_order", with_flow(
+    """select orderid, customerid, transactiondate, cast(count(distinct marketingid) as bigint) as m_rec
+       from candidates where customerid is not null and transactiondate is not null group by all""", gold=True))
+def campaigns_per_order(spark, d):
+    """How many distinct campaigns each order falls under (0 included), by the sweep."""
+    s = silver_layer(spark, d)
+    return sweep.campaigns_per_order(s.orders, G.clicked(s.marketing), days=7)
+
+
+@register("double_attribution_rows_hot_customer", with_flow(
+    f"select * from flagged where orderid in ({DUP_ORDERS})", gold=True, hot_customer=HOT_CUSTOMER))
+def double_attribution_rows_hot_customer(spark, d):
+    return G.double_attribution_rows(silver_layer(spark, d, hot_customer=HOT_CUSTOMER), 7)
+
+
 @register("parameterized_window", with_flow(
     "select count(*) as gold_rows, count(marketingid) as attributed, "
     "cast(sum(amount) as bigint) as revenue from gold", gold=True, days=10))

@@ -11,7 +11,6 @@ from ..functions.udfs import (pandas_membership_flag, register_mask_function,
 from ..operators import governance as Gv
 from ..operators import ordering as O
 from ..operators import quality as Q
-from ..operators.attribution import double_attribution_flag
 from ..operators.joins import band_join
 from ..sources import fixtures
 from . import gold as G
@@ -308,7 +307,7 @@ def pandas_udf_flag(spark, d):
 @register("double_attribution_lag_only", with_flow(
     "select orderid, marketingid, double_attribution from flagged", gold=True))
 def double_attribution_lag_only(spark, d):
-    st = double_attribution_flag(G.attribution_pairs(silver_layer(spark, d), 7))
+    st = G.attribution_staging(silver_layer(spark, d), 7)
     return st.select("orderid", "marketingid", "double_attribution")
 
 
