@@ -13,9 +13,12 @@ Learning uses a bounded sample of labelled rows (``sample_rows``, by a hash of t
 counts are pre-aggregated in the tasks. Scoring covers every whole text.
 
 Defined results: a null or empty text has no hits and gets the score of such texts; a null id
-counts as training row 0 but has no label; documents with several labels count once per label;
-repeated rows are scored each; without any label or without a toxic one every score is the
-share of toxic labels (0 without labels); other columns are ignored.
+counts as training row 0 but has no label; documents with several labels count once per label, and
+documents that share an id are one labelled row; repeated rows are scored each. A text without a
+hit has nothing against it: its score is what the model gives such texts, ``NO_EVIDENCE`` at
+most. So is every score (the share of toxic labels, likewise bounded) where labels are missing or
+all alike and nothing can be learned, and no document is rejected then. If a part of the
+sample lacks a class, both parts are the whole sample. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ QUOTES = '"“”«»„'
 ADDRESS = frozenset("you your you're u tu te vous du dich ihr tú usted vosotros".split())
 WINDOW = 5
 FEATURES = 6
+#: Highest score of a text without a hit.
+NO_EVIDENCE = 0.25
 CACHED_CHUNKS = 200_000
 #: Determinised states that are kept before the automaton starts afresh.
 KEPT_STATES = 30_000
@@ -256,9 +261,11 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample_rows: int, keep) -> Dat
     some = (labels.filter(keep & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
             .select("doc_id", F.col("toxic").cast("int").alias("toxic"))
             .orderBy(F.xxhash64("doc_id", F.lit(5)), "toxic").limit(sample_rows))
-    # the sample is bounded by its parameter, so it may be broadcast
-    return (docs.join(F.broadcast(some), "doc_id")
-            .select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "toxic"))
+    # the sample is bounded by its parameter, so it may be broadcast; an id that many rows share is one row
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return (docs.select("doc_id", text.alias("text")).join(F.broadcast(some), "doc_id")
+            .groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+            .select("doc_id", "text", "toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, keep, sample_rows: int = 20_000,
@@ -270,20 +277,22 @@ def fit(docs: DataFrame, labels: DataFrame, keep, sample_rows: int = 20_000,
     counted in. The driver gets at most ``max_terms`` terms and a few numbers per row.
     """
     rows = materialize(_labelled(docs, labels, sample_rows, keep), "tox_sample")
-    part = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(3))
-    sizes = {r.toxic: r.n for r in rows.filter(part < 2).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    model = {"terms": {}, "stems": {}, "weights": None, "prior": total[1] / total[0] if total[0] else 0.0}
-    if not n_toxic or not n_clean:
+    part = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(3)) < 2
+    sizes = {(r.lexicon, r.toxic): r.n for r in rows.groupBy(part.alias("lexicon"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per_class = [sum(n for (_, toxic), n in sizes.items() if (toxic == 1) == kind) for kind in (False, True)]
+    model = {"terms": {}, "stems": {}, "weights": None, "prior": per_class[1] / max(1, sum(per_class))}
+    if not all(per_class):
         return model
+    counted = weighed = rows
+    if all(any((toxic == 1) == kind and lexicon == side for lexicon, toxic in sizes) for kind in (False, True) for side in (False, True)):
+        counted, weighed = rows.filter(part), rows.filter(~part)
+        per_class = [sum(n for (lexicon, toxic), n in sizes.items() if lexicon and (toxic == 1) == kind) for kind in (False, True)]
+    n_clean, n_toxic = per_class
     ratio = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
-    counts = (learn_counts(rows.filter(part < 2)).filter((F.col("toxic") >= min_docs) & (ratio >= min_odds))
+    counts = (learn_counts(counted).filter((F.col("toxic") >= min_docs) & (ratio >= min_odds))
               .orderBy((ratio * F.log1p("toxic")).desc(), "term", "stem").limit(max_terms).collect())
     model["terms"], model["stems"] = choose_terms(counts, n_toxic, n_clean)
-    found = _features(rows.filter(part == 2), model, ["toxic"]).toPandas()  # a few numbers a row
-    if not len(found) or found["toxic"].nunique() < 2:
-        return model
+    found = _features(weighed, model, ["toxic"]).toPandas()  # a few numbers a row
     x = np.stack(found["features"].to_numpy())
     model["weights"] = _logistic(x, found["toxic"].to_numpy() == 1)
     return model
@@ -326,12 +335,14 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     out = _features(texts, model, ["doc_id"]).withColumn("doc_id", F.col("doc_id").cast(id_type))
     if model["weights"] is None:
-        return out.select("doc_id", F.lit(float(model["prior"])).alias("score"))
+        return out.select("doc_id", F.lit(min(float(model["prior"]), NO_EVIDENCE)).alias("score"))
     w = [float(x) for x in model["weights"]]
     z = F.lit(w[-1])
     for i in range(FEATURES):
         z = z + F.col("features")[i] * F.lit(w[i])
-    return out.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+    p = 1 / (1 + F.exp(-z))
+    return out.select("doc_id", F.when(F.col("features")[FEATURES - 1] == 0, F.least(p, F.lit(NO_EVIDENCE)))
+                      .otherwise(p).alias("score"))
 
 
 def keep_below(docs: DataFrame, model: dict, limit: float) -> DataFrame:
@@ -341,7 +352,7 @@ def keep_below(docs: DataFrame, model: dict, limit: float) -> DataFrame:
     to the scorer, so no join is needed to bring rows and scores together.
     """
     if model["weights"] is None:
-        return docs.filter(F.lit(float(model["prior"])) < limit)
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast((model["terms"], model["stems"], model["weights"]))
 
     @F.pandas_udf("double")
@@ -350,7 +361,8 @@ def keep_below(docs: DataFrame, model: dict, limit: float) -> DataFrame:
         scorer = Scorer(Lexicon(terms, stems))
         for texts in batches:
             x = np.array([scorer.features(t) for t in texts]).reshape(len(texts), FEATURES)
-            yield pd.Series(1 / (1 + np.exp(-(x @ weights[:-1] + weights[-1]))))
+            p = 1 / (1 + np.exp(-(x @ weights[:-1] + weights[-1])))
+            yield pd.Series(np.where(x[:, -1] == 0, np.minimum(p, NO_EVIDENCE), p))
 
     return docs.filter(scores(F.coalesce(F.col("text").cast("string"), F.lit(""))) < limit)
 
