@@ -4,7 +4,8 @@ Each turn is ``### role: body</turn>`` and a newline. A visitor over the turn's
 text escaped and every image, audio or document part as a placeholder ``<|kind|>``; it records
 the part's reference and the number of tokens the placeholder expands to. Control strings in
 a role or a text are replaced by two-character escapes, so none of them can occur in escaped
-text, the template can be split by plain search, and unescaping gives the text back.
+text, the template can be split by plain search, and unescaping gives the text back. Adjacent
+text parts are kept apart by an escape that stands for nothing, so none arises across them either.
 
 DataFrame functions only. Defined results: a null role or text is empty; turns are taken by
 turn number, then role, then body (nulls first), so repeated rows stay, next to each other; a
@@ -21,6 +22,8 @@ from .common import table
 
 #: (control string, its escape); the escape character itself comes first when writing.
 ESCAPES = [("\\", "\\s"), ("</turn>", "\\t"), ("###", "\\h"), ("<|", "\\p")]
+#: Stands for nothing, between two text parts.
+SEAM = "\\e"
 ROLE_ESCAPES = [*ESCAPES, (":", "\\c")]
 OPEN, SPLIT, CLOSE = "### ", ": ", "</turn>\n"
 #: Fields of a content part.
@@ -36,6 +39,7 @@ def escape(c: Column, table_=ESCAPES) -> Column:
 
 def unescape(c: Column, table_=ESCAPES) -> Column:
     # every backslash left opens an escape, so the backslash's own escape is undone last
+    c = F.replace(c, F.lit(SEAM), F.lit(""))
     for raw, esc in reversed(table_):
         c = F.replace(c, F.lit(esc), F.lit(raw))
     return c
@@ -49,8 +53,9 @@ def text_part(text: Column) -> Column:
                             none.alias("pages")).cast(PART))
 
 
-def _part_body(p: Column, kind: Column) -> Column:
-    return F.when(kind == "text", escape(p["text"])).otherwise(
+def _part_body(p: Column, kind: Column, before: Column) -> Column:
+    seam = F.when(before == "text", F.lit(SEAM)).otherwise(F.lit(""))
+    return F.when(kind == "text", F.concat(seam, escape(p["text"]))).otherwise(
         F.concat(F.lit("<|"), escape(kind, ROLE_ESCAPES), F.lit("|>")))
 
 
@@ -74,7 +79,7 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant", patch:
     kind = lambda p: F.coalesce(p["kind"], F.lit("unknown"))
     visited = F.transform(
         F.coalesce(F.col("parts"), F.array().cast(f"array<{PART}>")),
-        lambda p: F.struct(_part_body(p, kind(p)).alias("body"), kind(p).alias("kind"), p["ref"].alias("ref"),
+        lambda p, i: F.struct(_part_body(p, kind(p), F.get("parts", i - 1)["kind"]).alias("body"), kind(p).alias("kind"), p["ref"].alias("ref"),
                            _part_tokens(p, kind(p), patch, audio_rate, page_tokens).alias("tokens")))
     rows = (turns.select("conv_id", "turn", "role", visited.alias("visited"))
             .withColumn("body", F.array_join(F.col("visited.body"), ""))
