@@ -12,7 +12,8 @@ table's size. Pairs are never rows; a task returns at most ``k`` results per que
 
 Defined results: vectors that are null or hold null or non-finite components take no part;
 vectors are compared with those of as many components; repeated rows are rows of their own, and
-a row is only left out of its own query's results; fewer than ``k`` others: all of them.
+a row is only left out of its own query's results; fewer than ``k`` others: all of them. A row
+without an id is a candidate like any other and comes last among equal scores.
 Products are exact while they stay below 2^53.
 """
 
@@ -29,6 +30,8 @@ from .common import global_rank, table
 #: Bounds on the cosine from which coordinates prune better than lengths.
 COORDINATE_FROM = 0.5
 FOCUS = 4
+#: Stands for a null id where numbers are compared; the greatest, and told apart from a real one by a flag.
+NO_ID = (1 << 63) - 1
 
 
 def usable(v: Column) -> Column:
@@ -47,10 +50,11 @@ def _matrix(rows: pd.Series) -> np.ndarray:
 
 def _search(c: np.ndarray, ids: np.ndarray, rows: np.ndarray, q: np.ndarray, q_rows: np.ndarray,
             bound: np.ndarray, k: int):
-    """Best ``k`` of one bucket for each query: (query position, rows of the bucket, scores)."""
+    """Best ``k`` of one bucket for each query: (query position, places in the bucket, scores)."""
+    places = np.arange(len(c))
     lengths = np.sqrt((c * c).sum(1))
     order = np.argsort(-lengths, kind="stable")
-    c, ids, rows, lengths = c[order], ids[order], rows[order], lengths[order]
+    c, ids, rows, lengths, places = c[order], ids[order], rows[order], lengths[order], places[order]
     unit = np.divide(c, lengths[:, None], out=np.zeros_like(c), where=lengths[:, None] > 0)
     longest = lengths[0] if len(lengths) else 0.0
     q_len = np.sqrt((q * q).sum(1))
@@ -81,7 +85,7 @@ def _search(c: np.ndarray, ids: np.ndarray, rows: np.ndarray, q: np.ndarray, q_r
             near = scores >= worst
             at, scores = at[near], scores[near]
         best = np.lexsort((ids[at], -scores))[:k]
-        yield i, ids[at[best]], scores[best]
+        yield i, places[at[best]], scores[best]
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, bucket_rows: int = 8192,
@@ -92,40 +96,42 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, bucket_rows: int = 8
         F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).alias("n2"))
     ranked = materialize(global_rank(kept, [F.col("dim").asc(), F.col("n2").desc(), F.col("vec_id").asc()],
                                      "topk_vectors", "row")
+                         # a null among integers would make pandas turn them into floats
+                         .withColumns({"no_id": F.col("vec_id").isNull(), "vec_id": F.coalesce("vec_id", F.lit(NO_ID))})
                          .withColumn("bucket", F.floor(F.col("row") / bucket_rows)), "topk_rows")
     queries = ranked.filter("is_query")
     heads = ranked.groupBy("dim", "bucket").agg(F.max("n2").alias("most"))  # a row per bucket
     first = heads.groupBy("dim").agg(F.min("bucket").alias("bucket"))
-    queries = materialize(queries.select("vec_id", "v", "n2", "dim", "row").withColumn(
+    queries = materialize(queries.select("vec_id", "no_id", "v", "n2", "dim", "row").withColumn(
         "tile", F.pmod(F.xxhash64("row"), F.lit(max(1, -(-queries.count() // tile_rows))))), "topk_queries")
 
     def results(c_side: DataFrame, q_side: DataFrame) -> DataFrame:
         def search(both: pd.DataFrame) -> pd.DataFrame:
             c, q = both[both["bound"].isna()], both[both["bound"].notna()]
-            parts = [(np.full(len(s), q["row"].iat[i]), np.full(len(s), i), ids, s)
-                     for i, ids, s in _search(_matrix(c["v"]), c["vec_id"].to_numpy(), c["row"].to_numpy(),
-                                              _matrix(q["v"]), q["row"].to_numpy(), q["bound"].to_numpy(float), k)
+            parts = [(np.full(len(s), i), at, s)
+                     for i, at, s in _search(_matrix(c["v"]), c["vec_id"].to_numpy(), c["row"].to_numpy(),
+                                             _matrix(q["v"]), q["row"].to_numpy(), q["bound"].to_numpy(float), k)
                      ] if len(c) and len(q) else []
             if not parts:
-                return pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []})
-            at = np.concatenate([p[1] for p in parts])
-            return pd.DataFrame({"row": np.concatenate([p[0] for p in parts]),
-                                 "query_id": q["vec_id"].to_numpy()[at],
-                                 "vec_id": np.concatenate([p[2] for p in parts]),
-                                 "score": np.concatenate([p[3] for p in parts])})
+                return pd.DataFrame({n: [] for n in ("row", "query_id", "no_query_id", "vec_id", "no_id", "score")})
+            ours, theirs = (np.concatenate([p[n] for p in parts]) for n in (0, 1))
+            return pd.DataFrame({"row": q["row"].to_numpy()[ours], "query_id": q["vec_id"].to_numpy()[ours],
+                                 "no_query_id": q["no_id"].to_numpy()[ours], "vec_id": c["vec_id"].to_numpy()[theirs],
+                                 "no_id": c["no_id"].to_numpy()[theirs], "score": np.concatenate([p[2] for p in parts])})
         keys = ["dim", "bucket", "tile"]
-        columns = [*keys, "vec_id", "row", "v", "bound"]  # a candidate has no bound
+        columns = [*keys, "vec_id", "no_id", "row", "v", "bound"]  # a candidate has no bound
         rows = (c_side.withColumn("bound", F.lit(None).cast("double")).select(*columns)
                 .unionByName(q_side.select(*columns)))
-        return rows.groupBy(*keys).applyInPandas(search, "row long, query_id long, vec_id long, score double")
+        return rows.groupBy(*keys).applyInPandas(
+            search, "row long, query_id long, no_query_id boolean, vec_id long, no_id boolean, score double")
 
     def ranks(found: DataFrame) -> DataFrame:
-        w = Window.partitionBy("row").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+        w = Window.partitionBy("row").orderBy(F.col("score").desc(), F.col("vec_id").asc(), F.col("no_id").asc())
         return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
     tiles = queries.select("dim", "tile").distinct()
     seeds = results(ranked.join(F.broadcast(first), ["dim", "bucket"])
-                    .join(tiles, "dim").select("dim", "bucket", "tile", "vec_id", "row", "v"),
+                    .join(tiles, "dim").select("dim", "bucket", "tile", "vec_id", "no_id", "row", "v"),
                     queries.join(F.broadcast(first), "dim").withColumn("bound", F.lit(float("-inf"))))
     seeds = materialize(ranks(seeds), "topk_seeds")
     bounds = (seeds.groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
@@ -135,12 +141,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, bucket_rows: int = 8
         queries.join(bounds, "row", "left").fillna(float("-inf"), ["bound"])
         .join(heads.join(first.withColumnRenamed("bucket", "first"), "dim").filter("bucket > first"), "dim")
         .filter((F.col("bound") <= 0) | (F.sqrt(F.col("n2")) * F.sqrt("most") * (1 + 1e-9) >= F.col("bound")))
-        .select("dim", "bucket", "tile", "vec_id", "row", "v", "bound"), "topk_visits")
+        .select("dim", "bucket", "tile", "vec_id", "no_id", "row", "v", "bound"), "topk_visits")
     visited = visits.select("dim", "bucket", "tile").distinct()
     rest = results(ranked.join(visited, ["dim", "bucket"])
-                   .select("dim", "bucket", "tile", "vec_id", "row", "v"), visits)
-    both = seeds.select("row", "query_id", "vec_id", "score").unionByName(rest)
-    return ranks(both).select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+                   .select("dim", "bucket", "tile", "vec_id", "no_id", "row", "v"), visits)
+    both = seeds.drop("rank").unionByName(rest)
+    return ranks(both).select(F.when(~F.col("no_query_id"), F.col("query_id")).alias("query_id"), "rank",
+                              F.when(~F.col("no_id"), F.col("vec_id")).alias("vec_id"),
+                              F.col("score").cast("long").alias("score"))
 
 
 def op9_topk(spark, sf_dir: str) -> DataFrame:
