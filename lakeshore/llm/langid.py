@@ -47,6 +47,14 @@ DIMENSION = 1 << 16
 BLOCK = 1 << 14
 
 
+def words_of(text: str, pattern: re.Pattern = WORD) -> list[str]:
+    """Runs of letters. The patterns also take number signs that are no letters (² ½ ①); they part words."""
+    found = pattern.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in pattern.findall("".join(c if c.isalpha() else " " for c in run))]
+
+
 def word_features(word: str) -> list[str]:
     """Affixes, inner n-grams and the word itself (the lexicon feature)."""
     w = f"^{word}$"
@@ -255,7 +263,7 @@ def _segments(docs: DataFrame, segments: int) -> DataFrame:
         for batch in batches:
             out = []
             for lang, text in zip(batch["lang"], batch["text"]):
-                words = WORD.findall(text.lower())
+                words = words_of(text.lower())
                 if not words:
                     continue
                 seed = zlib.crc32(text.encode("utf-8", "replace"))
@@ -329,7 +337,7 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
 def label(model: Field, texts) -> list[tuple[str, float, int, float]]:
     """(language, its share of the letters, words, how sure each letter's language is) of each text."""
     lower = [t.lower() for t in texts]
-    words = [WORD.findall(t) for t in lower]
+    words = [words_of(t) for t in lower]
     out = [("und", 0.0, 0, 0.0)] * len(words)
     filled = [i for i, w in enumerate(words) if w]
     rows = model.rows([words[i] for i in filled])
@@ -338,7 +346,7 @@ def label(model: Field, texts) -> list[tuple[str, float, int, float]]:
             letters = np.fromiter(map(len, words[i]), float, len(words[i]))
             share = letters @ post / letters.sum()
             best = int(share.argmax())
-            n = len(words[i]) if letters.max() < LONGEST else len(RUN.findall(lower[i]))
+            n = len(words[i]) if letters.max() < LONGEST else len(words_of(lower[i], RUN))
             out[i] = (model.langs[best], min(1.0, float(share[best])), n,
                       min(1.0, float(letters @ post.max(1) / letters.sum())))
     return out
