@@ -4,7 +4,8 @@ Every layer is written to storage (nothing is handed over in memory between step
 between the job's tasks), under one root in the shared folder:
 
     <root>/landing/<entity>_00N.csv/   '|'-separated export, one directory per file
-    <root>/bronze/<entity>/            Parquet, appended per landing file
+    <root>/bronze/<entity>/            Parquet, appended per landing file (or a replaceable partition per file)
+    <root>/quarantine/<entity>/        lines of the landing files that are not rows (replaceable files only)
     <root>/silver/<entity>/            Parquet, new rows appended (insert-only merges, idempotent)
     <root>/gold/order_attribution/     overwritten on each run (drop + CTAS)
 """
@@ -20,7 +21,7 @@ from pyspark.sql.types import StructType
 from ..operators.joins import anti_join
 from ..session import fresh_path
 from ..sources import csv as C
-from ..sources import fixtures
+from ..sources import fixtures, landing
 from . import gold as G
 from . import silver as S
 
@@ -53,7 +54,8 @@ def land_files(spark: SparkSession, sf_dir: str, root: str,
 
 def load_bronze(spark: SparkSession, files: list[str], schema: StructType,
                 bronze_path: str) -> DataFrame:
-    """``INSERT INTO bronze SELECT * FROM file_view`` for each file in order (append)."""
+    """``INSERT INTO bronze SELECT * FROM file_view`` for each file in order (append): a file that is
+    loaded twice is there twice. ``sources.landing`` replaces a file's rows instead."""
     for path in files:
         raw = C.read_pipe_csv(spark, path, [f.name for f in schema.fields])
         C.to_typed(raw, schema).write.mode("append").parquet(bronze_path)
@@ -113,17 +115,26 @@ def drop_tables(spark: SparkSession, root: str) -> None:
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None, days: int = 7,
-                 runs: int = 1, recreate_tables="False") -> PipelineRun:
+                 runs: int = 1, recreate_tables="False", replace_files: bool = False) -> PipelineRun:
     """Land, load bronze, merge silver (``runs`` times: merges are idempotent), write gold.
 
     With ``recreate_tables`` set, existing tables under ``root`` are dropped first (bronze is
-    appended to, so a re-run without dropping doubles it, as in the scheduled job)."""
+    appended to, so a re-run without dropping doubles it, as in the scheduled job). With ``replace_files``
+    bronze has a partition per landing file, a re-run replaces what its files gave before, and lines that
+    are no rows go to the quarantine instead of stopping the job."""
     root = root or fresh_path(spark, "pipeline")
     if parse_flag(recreate_tables):
         drop_tables(spark, root)
     schemas = fixture_schemas(spark, sf_dir)
     files = land_files(spark, sf_dir, root)
-    bronze = {e: load_bronze(spark, files[e], schemas[e], f"{root}/bronze/{e}") for e in ENTITIES}
+    bronze = {}
+    for e in ENTITIES:
+        path = f"{root}/bronze/{e}"
+        if replace_files:
+            landing.load_files(spark, dict(zip(FILES, files[e])), e, schemas[e], path, f"{root}/quarantine/{e}")
+            bronze[e] = landing.read_bronze(spark, path, schemas[e])
+        else:
+            bronze[e] = load_bronze(spark, files[e], schemas[e], path)
     tables = {e: f"{root}/silver/{e}" for e in ENTITIES}
     silver = {}
     for _ in range(runs):

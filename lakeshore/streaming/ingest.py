@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..sources.csv import SEP, string_schema, to_typed
+from ..sources.csv import SEP, file_sequence, string_schema, to_typed, with_source_file
+from ..sources.landing import FILE_SEQ, read_bronze, replace_partitions
 
 
 def landing_stream(spark: SparkSession, landing_glob: str, schema: StructType,
@@ -56,3 +57,28 @@ def ingest_each_batch(spark: SparkSession, landing_glob: str, schema: StructType
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+
+
+def ingest_replacing(spark: SparkSession, landing_glob: str, entity: str, schema: StructType, bronze_path: str,
+                     checkpoint: str) -> DataFrame:
+    """Load every new landing file in place of what an earlier file of the same sequence number gave.
+
+    The source hands over files it has not seen; a corrected file, written anew under its sequence number, is such a
+    file. A micro-batch holds all that is new (no limit per trigger), so the part files of one landing
+    file come together, and its partition of bronze is overwritten as a whole. A batch that is replayed after a
+    failure overwrites the same partitions with the same rows.
+    """
+    reader = (spark.readStream.schema(string_schema([f.name for f in schema.fields]))
+              .option("sep", SEP).option("header", True).option("mode", "FAILFAST"))
+    rows = with_source_file(reader.csv(landing_glob), "__path")
+    typed = to_typed(rows, schema, carry=("__path",)).withColumn(FILE_SEQ, file_sequence("__path", entity)).drop("__path")
+
+    def replace(batch: DataFrame, _batch_id: int) -> None:
+        replace_partitions(batch, bronze_path)
+
+    q = (typed.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return read_bronze(spark, bronze_path, schema, with_file=True)
