@@ -28,7 +28,6 @@ import os
 import re
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
@@ -49,81 +48,79 @@ LENGTH = 2048
 ROWS = 64
 #: Characters that are tokenised at a time.
 CHARS = 4_000_000
-#: Strings whose ids a task remembers; a cache, it changes no result.
-CACHED = 300_000
+#: Pieces whose ids a worker remembers (about 200 bytes each); a cache, it changes no result.
+CACHED = 500_000
 MANIFEST = "shard int, ids_path string, docs_path string, n_ids long, n_docs long, n_sequences long"
 
 
 class ByteBpe:
     """Ids of whole texts from a byte-level BPE file, as little-endian bytes of ``dtype``.
 
-    Its pattern always parts a text before a single blank or newline between two other characters, and
-    parts letters from ASCII marks, so those pieces are encoded once and remembered. A text that may hold
-    a special token's string goes whole.
+    The file's own pattern parts a text into pieces (a word with the blank before it, marks, digits, white
+    space) that are encoded for themselves; here they are cut by the same pattern, written out for
+    Latin-1, and each distinct one is encoded once and remembered. A text with other characters is first parted before
+    single blanks and newlines between two other characters, where the pattern always parts it; a part with
+    such characters stays whole. A text that holds a special token's string goes whole.
     """
 
+    LETTER, DIGIT, WHITE = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+    PIECES = re.compile(f" ?[{LETTER}]+|'(?:[stmd]|re|ve|ll)| ?[{DIGIT}]+| ?[^{WHITE}{LETTER}{DIGIT}]+"
+                        f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
     PARTS = re.compile(r"(?<=[^\s\x1c-\x1f])(?=[ \n][^\s\x1c-\x1f])")
-    #: Separator, letters, marks; an apostrophe may join letters, so such pieces go whole.
-    PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    _shared: dict[str, "ByteBpe"] = {}
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(file)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.newline = self._ids("\n")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    @classmethod
+    def shared(cls, file: str) -> "ByteBpe":
+        """One per worker process, so what one task has learned serves the next."""
+        if file not in cls._shared:
+            cls._shared[file] = cls(file)
+        return cls._shared[file]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHED:
             self.known.clear()
-        if len(self.words) > CACHED:
-            self.words.clear()
-        known, split = self.known, self.PARTS.split
-        parts = [None if any(s in t for s in self.special) else split(t) for t in texts]
-        self._learn(set().union(*(p for p in parts if p is not None)).difference(known))
-        return [self._ids(t) if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, parts)]
+        pieces = [self._pieces(t) for t in texts]
+        self._learn(set().union(*pieces).difference(self.known))
+        return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+
+    def _pieces(self, text: str) -> list[str]:
+        if any(s in text for s in self.special):
+            return [text]
+        if _is_latin1(text):
+            return self.PIECES.findall(text)
+        return [p for part in self.PARTS.split(text) for p in (self.PIECES.findall(part) if _is_latin1(part) else [part])]
 
     def _learn(self, pieces: set[str]) -> None:
-        plain, whole, words = [], [], set()
-        for piece in pieces:
-            m = self.PLAIN.fullmatch(piece)
-            if m is None:
-                whole.append(piece)
-                continue
-            lead, word, marks = m.groups()
-            if lead == " ":
-                lead, word = "", " " + word
-            plain.append((piece, lead, word, marks))
-            words.update((word, marks))
-        self._learn_words([w for w in words if w not in self.words])
-        for i in range(0, len(whole), 10_000):
-            some = whole[i:i + 10_000]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[piece] = array(self.code, e.ids).tobytes()
-        for piece, lead, word, marks in plain:
-            self.known[piece] = (self.newline if lead else b"") + self.words[word] + self.words[marks]
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Many words at a time, each followed by a newline, which is a token of its own there."""
-        self.words[""] = b""
-        words = [w for w in words if w]
-        mark, width = int(np.frombuffer(self.newline, self.dtype)[0]), self.dtype.itemsize
-        groups = [words[i:i + 256] for i in range(0, len(words), 256)]
-        for i in range(0, len(groups), 64):
-            some = groups[i:i + 64]
-            texts = ["\n".join(g) + "\n" for g in some]
-            for g, e in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                ids = np.array(e.ids, self.dtype)
-                ends = (np.flatnonzero(ids == mark) * width).tolist()
-                flat = ids.tobytes()
-                self.words.update((w, flat[a:b]) for w, a, b in zip(g, [0, *(x + width for x in ends)], ends))
+        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        for i in range(0, len(words), 16_384):  # many words in one text; which word an id is from is told by the library
+            groups = [words[j:j + 256] for j in range(i, min(i + 16_384, len(words)), 256)]
+            for group, e in zip(groups, self.tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False)):
+                ids = np.array(e.ids, self.dtype).tobytes()
+                ends = ((np.flatnonzero(np.diff(np.array(e.word_ids), append=-1)) + 1) * self.dtype.itemsize).tolist()
+                self.known.update((w, ids[a:b]) for w, a, b in zip(group, [0, *ends], ends))
+        rest = list(pieces.difference(words))
+        for i in range(0, len(rest), 1000):
+            some = rest[i:i + 1000]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[p] = np.array(e.ids, self.dtype).tobytes()
+
+
+def _is_latin1(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 # --- the files --------------------------------------------------------------------------------
@@ -263,7 +260,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer_file
         for batch in batches:
             for doc_ids, texts in _texts(batch):
                 if ids is None:
-                    tok = ByteBpe(tokenizer_file or public_tokenizers.path("byte_bpe_50k.json"))
+                    tok = ByteBpe.shared(tokenizer_file or public_tokenizers.path("byte_bpe_50k.json"))
                     end = np.array([end_id], tok.dtype).tobytes()
                     shard = TaskContext.get().partitionId()
                     base = f"{folder}/part-{shard:06d}-{uuid.uuid4().hex[:12]}"

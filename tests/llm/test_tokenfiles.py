@@ -40,10 +40,12 @@ def _want(ref, rows):
 def test_pieces_equal_the_tokenizer(ref):
     rng = random.Random(4)
     alphabet = ["a", "b", "Z", "é", "ß", " ", " ", "  ", "\n", "\t", ".", ",", "'", "'s", "'ll", "-", "0", "12", " ", "　",
-                "日", "本", "\x1c", "\x85", "\r\n", "😀", "_", "$", "<|endoftext|>", "<|", "½", "́", "×"]
+                "日", "本", "\x1c", "\x85", "\r\n", "😀", "_", "$", "<|endoftext|>", "<|", "½", "́", "×", "²", "ª", "µ",
+                "\xa0", "\x00", "\xad", " x", " Ab", "“", "— "]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(20_000)]
     texts += ["The quick  brown\nfox's \n jumps. Don't\n\nstop,now ", "x" * 5000, " " * 3000, "\n"]
     tok = tokenfiles.ByteBpe(FILE)
+    texts += ["".join(map(chr, rng.sample(range(256), 40))) for _ in range(3000)]
     for lo in range(0, len(texts), 3000):
         some = texts[lo:lo + 3000]
         for text, got in zip(some, tok.encode(some)):
