@@ -201,9 +201,9 @@ def manifest(docs: DataFrame, tampered_text: Column | None = None, group: str =
                                       F.col("top").alias("digest")), "grp", levels, "merkle_upper")
     top = materialize(top, "merkle_root")
     ways = _node_paths(upper[0], _descend(upper, top.withColumn("path", F.lit("")), levels), levels)
+    root = top.first()["top"] if total else None  # one digest
     tops = (order.join(ways.select(F.col("place").alias("rank"), "path"), "rank")
-            .join(F.broadcast(top.select(F.col("top").alias("root"))))  # one row
-            .select("grp", F.col("top").alias("subroot"), "root", "path"))
+            .select("grp", F.col("top").alias("subroot"), F.lit(root).alias("root"), "path"))
     tops = materialize(tops, "merkle_tops")
     proved = _proofs(tables[0], _descend(tables, tops, levels), levels)
     return join_same(proved, tops.select("grp", "subroot", "root"), ["grp"]).select(
