@@ -55,13 +55,14 @@ def dml_sql(select: str) -> str:
     return "with " + bronze_ctes() + "," + DML_CTES + "\n" + select
 
 
-def _files(spark, d):
+def dml_files(spark, d):
+    """The two input files of the row-change script."""
     c = bronze(spark, d).customers
     return c.filter(F.col("clientid") % 3 != 2), c.filter(F.col("clientid") % 3 != 0)
 
 
 def _v1(spark, d):
-    return _files(spark, d)[0].distinct()
+    return dml_files(spark, d)[0].distinct()
 
 
 def _v2(spark, d):
@@ -70,7 +71,7 @@ def _v2(spark, d):
 
 
 def _v3(spark, d):
-    return X.merge_fill_null(_v2(spark, d), _files(spark, d)[1].distinct(), "clientid", "email")
+    return X.merge_fill_null(_v2(spark, d), dml_files(spark, d)[1].distinct(), "clientid", "email")
 
 
 def _v4(spark, d):
@@ -89,11 +90,11 @@ def dml_table(spark, d, through: int = 6) -> SnapshotTable:
                       comment="customers of the row-change script; emails are personal data")
     at = lambda i: T0 + dt.timedelta(hours=i)
     t.create(bronze(spark, d).customers.schema, committed_at=at(0))
-    steps = [("WRITE", lambda: _files(spark, d)[0].distinct(), {"mode": "append", "distinct": True}),
+    steps = [("WRITE", lambda: dml_files(spark, d)[0].distinct(), {"mode": "append", "distinct": True}),
              ("UPDATE", lambda: X.update_where(t.read(), F.col("clientid").isin(*NULLED_KEYS),
                                                {"email": F.lit(None).cast("string")}),
               {"predicate": f"clientid IN {NULLED_KEYS}"}),
-             ("MERGE", lambda: X.merge_fill_null(t.read(), _files(spark, d)[1].distinct(),
+             ("MERGE", lambda: X.merge_fill_null(t.read(), dml_files(spark, d)[1].distinct(),
                                                  "clientid", "email"),
               {"matched": "email IS NULL", "not_matched": "insert"}),
              ("DELETE", lambda: X.delete_in(t.read(), "email", t.read().groupBy("email")
