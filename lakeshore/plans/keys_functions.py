@@ -10,6 +10,7 @@ from ..functions.udfs import (pandas_membership_flag, register_mask_function,
                               register_row_filter_function)
 from ..operators import governance as Gv
 from ..operators import ordering as O
+from ..operators import profile as Pr
 from ..operators import quality as Q
 from ..operators.joins import band_join
 from ..sources import fixtures
@@ -211,6 +212,21 @@ def bootstrap_duplicates(spark, d):
     return O.append_repeats(base, F.col("clientid") % 25 == 0)
 
 
+@register("bootstrap_duplicates_drawn", with_flow("""
+  (select * from base) union all
+  (select b.* from draws join ranked r on r.place = draws.place join base b on b.clientid = r.clientid)""",
+  silver=False, extra="""
+base as (select * from cust0),
+ranked as (select clientid, row_number() over (order by md5(cast(clientid as varchar))) - 1 as place from base),
+rows_ as (select count(*) as n from base),
+numbers as (select i, n from rows_, range(100000000) t(i) where i < round_even(n * 0.04, 0)),
+draws as (select cast(floor(cast('0x' || substr(md5('310:' || i), 1, 13) as bigint) / 4503599627370496.0 * n) as bigint) as place
+          from numbers)"""))
+def bootstrap_duplicates_drawn(spark, d):
+    """Exactly round(0.04 N) repeats drawn with replacement, the same ones however the table is partitioned."""
+    return O.append_drawn_repeats(fixtures.customers_base(spark, d), 0.04, seed=310, identity=F.col("clientid").cast("string"))
+
+
 # ---- A14 -------------------------------------------------------------------------------------
 
 def _profile_sql():
@@ -234,6 +250,72 @@ def table_profile(spark, d):
                     F.round("mean", 6).alias("mean"))
 
 
+_PROFILED = {"customers_silver": [("clientid", True), ("email", False), ("country", False), ("channel", False), ("creation_date", False)],
+             "orders_silver": [("orderid", True), ("transactiondate", False), ("items", True), ("amount", True), ("customerid", True)]}
+
+
+def _profiled(spark, d):
+    s = silver_layer(spark, d)
+    return {"customers_silver": s.customers, "orders_silver": s.orders}
+
+
+def _each_column(sql) -> str:
+    return with_flow("\nunion all ".join(sql(t, c, n) for t, cols in _PROFILED.items() for c, n in cols))
+
+
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_MOMENTS = "round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as stddev"
+
+
+@register("table_profile_merged", _each_column(lambda t, c, n: f"""
+select '{t}' as table_name, '{c}' as column_name, count(*) as num_rows, count(*) - count({c}) as nulls,
+       {f"cast(min({c}) as varchar)" if n else "null::varchar"} as lo, {f"cast(max({c}) as varchar)" if n else "null::varchar"} as hi,
+       {_MOMENTS.format(c=c) if n else "null::double as mean, null::double as stddev"} from {t}"""))
+def table_profile_merged(spark, d):
+    """Exact part of the sketch profile, taken per channel (customers) and per number of items (orders) and then merged."""
+    parts = []
+    for name, df in _profiled(spark, d).items():
+        p = Pr.summary(Pr.merged(Pr.sketches(df.withColumn("part", df[{"customers_silver": "channel", "orders_silver": "items"}[name]]), by="part")))
+        number = F.col("data_type").isin("bigint", "int")
+        parts.append(p.select(
+            F.lit(name).alias("table_name"), F.col("column").alias("column_name"), F.col("rows").alias("num_rows"), "nulls",
+            F.when(number, F.col("min")).alias("lo"), F.when(number, F.col("max")).alias("hi"),
+            F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev")))
+    return _union(parts)
+
+
+@register("frequent_values", with_flow("\nunion all ".join(f"""
+select '{t}' as table_name, '{c}' as column_name, cast({c} as varchar) as value, count(*) as n from {t} group by {c}
+having count(*) >= 0.01 * (select count(*) from {t})""" for t, cols in _PROFILED.items() for c, _ in cols if not c.endswith("date"))))
+def frequent_values(spark, d):
+    """Every value that at least 1 % of a column's rows hold, found by a frequency sketch and counted exactly."""
+    parts = []
+    for name, df in _profiled(spark, d).items():
+        df = df.select(*[c for c in df.columns if not c.endswith("date")])
+        found = Pr.frequent_values(df, Pr.merged(Pr.sketches(df)), 0.01)
+        parts.append(found.select(F.lit(name).alias("table_name"), F.col("column").alias("column_name"), "value", "n"))
+    return _union(parts)
+
+
+@register("profile_quantile_ranks", _each_column(lambda t, c, n: f"""
+select '{t}' as table_name, '{c}' as column_name, q as quantile, true as within_bound from {t}, (values (0.25::double), (0.5), (0.75)) v(q)
+group by q""" if n or c.endswith("date") else f"""
+select '{t}', '{c}', 0.0::double, true from {t} where false"""))
+def profile_quantile_ranks(spark, d):
+    """For each column on the number line, whether the sketch's quartiles have their rank to within 2 %, counted exactly."""
+    parts = []
+    for name, df in _profiled(spark, d).items():
+        e = Pr.rank_errors(df, Pr.merged(Pr.sketches(df)))
+        parts.append(e.select(F.lit(name).alias("table_name"), F.col("column").alias("column_name"), "quantile", (F.col("error") < 0.02).alias("within_bound")))
+    return _union(parts)
+
+
 # ---- G1 - G3, X1 - X3 -----------------------------------------------------------------------
 
 def _masked(spark, d, groups):
