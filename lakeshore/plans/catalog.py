@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import keys_changes, keys_flows, keys_functions, keys_landing, keys_tables  # noqa: F401
+from . import keys_changes, keys_flows, keys_functions, keys_governed, keys_landing, keys_tables  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
