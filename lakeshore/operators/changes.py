@@ -1,8 +1,8 @@
 """Row-level changes as pure DataFrame -> DataFrame functions (merge, update, delete).
 
 Parquet tables have no MERGE / UPDATE / DELETE, so each statement is a function from the
-old snapshot to the new one; ``lakeshore.sources.snapshots`` commits the result as a new
-version. NULL keys never match, as in SQL.
+old rows to the new ones; ``lakeshore.sources.bucketed`` applies them to the touched part of a stored
+table. NULL keys never match, as in SQL.
 """
 
 from __future__ import annotations

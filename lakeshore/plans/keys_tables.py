@@ -1,4 +1,4 @@
-"""Sources, sinks, row changes and versioned snapshots over the mapped test tables.
+"""Sources, sinks, row changes and their versions over the mapped test tables.
 
 Sink keys write into a fresh directory of the shared folder and return what they read
 back, so the result proves the round trip. The DML script runs on the mapped customers:
@@ -13,13 +13,15 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators import changes as X
 from ..operators.joins import valid_members
 from ..session import fresh_path
 from ..sources import csv as C
-from ..sources.snapshots import SnapshotTable
+from ..sources.landing import drop_partition
 from . import gold as G
 from . import pipeline as P
 from . import silver as S
@@ -84,31 +86,31 @@ def _v5(spark, d):
     return X.delete_where(_v4(spark, d), F.col("clientid") == DELETED_KEY)
 
 
-def dml_table(spark, d, through: int = 6) -> SnapshotTable:
-    """Run the script on a new versioned table; commit i at T0 + i hours."""
-    t = SnapshotTable(spark, fresh_path(spark, "customers_test"),
-                      comment="customers of the row-change script; emails are personal data")
-    at = lambda i: T0 + dt.timedelta(hours=i)
-    t.create(bronze(spark, d).customers.schema, committed_at=at(0))
-    steps = [("WRITE", lambda: dml_files(spark, d)[0].distinct(), {"mode": "append", "distinct": True}),
-             ("UPDATE", lambda: X.update_where(t.read(), F.col("clientid").isin(*NULLED_KEYS),
-                                               {"email": F.lit(None).cast("string")}),
-              {"predicate": f"clientid IN {NULLED_KEYS}"}),
-             ("MERGE", lambda: X.merge_fill_null(t.read(), dml_files(spark, d)[1].distinct(),
-                                                 "clientid", "email"),
-              {"matched": "email IS NULL", "not_matched": "insert"}),
-             ("DELETE", lambda: X.delete_in(t.read(), "email", t.read().groupBy("email")
-                                            .agg(F.count(F.lit(1)).alias("n")).filter("n > 1")),
-              {"predicate": "email IN shared"}),
-             ("DELETE", lambda: X.delete_where(t.read(), F.col("clientid") == DELETED_KEY),
-              {"predicate": f"clientid = {DELETED_KEY}"})]
-    for i, (op, fn, params) in enumerate(steps, start=1):
-        if i > through:
-            return t
-        t.commit(fn(), op, params, committed_at=at(i))
-    if through >= 6:
-        t.restore(3, committed_at=at(6))
-    return t
+#: What each statement of the script is; the rows of a version are the table's partition of that number.
+OPERATIONS = ("CREATE TABLE", "WRITE", "UPDATE", "MERGE", "DELETE", "DELETE", "RESTORE")
+CURRENT = len(OPERATIONS) - 1
+
+
+def _versions(spark, d) -> tuple[str, DataFrame]:
+    """The script's versions as one Parquet table partitioned by version: every statement is an ordinary job
+    that reads what it needs and appends its result as the next partition (0 is empty, 6 is 3 again)."""
+    path = fresh_path(spark, "customers_versions")
+    schema = bronze(spark, d).customers.schema
+    for n, rows in enumerate((_v1, _v2, _v3, _v4, _v5, _v3), start=1):
+        rows(spark, d).withColumn("version", F.lit(n)).write.mode("append").partitionBy("version").parquet(path)
+    return path, spark.read.schema(StructType([*schema.fields, StructField("version", IntegerType())])).parquet(path)
+
+
+def _commits(spark) -> DataFrame:
+    """Version, operation and time of every statement: statement i ran at T0 + i hours."""
+    rows = [(n, op, T0 + dt.timedelta(hours=n)) for n, op in enumerate(OPERATIONS)]
+    return spark.createDataFrame(rows, "version long, operation string, committed_at timestamp_ntz")
+
+
+def _history(spark, rows: DataFrame) -> DataFrame:
+    """The commits with the rows that their version holds."""
+    counts = rows.groupBy(F.col("version").cast("long").alias("version")).agg(F.count(F.lit(1)).alias("n"))
+    return _commits(spark).join(counts, "version", "left").withColumn("num_rows", F.coalesce("n", F.lit(0).cast("long"))).drop("n")
 
 
 # ---- O4 - O8: row changes as operators ---------------------------------------------------
@@ -146,21 +148,24 @@ def insert_distinct(spark, d):
     return spark.read.parquet(path)
 
 
-# ---- S6, S7, O9 - O14: versions -----------------------------------------------------------
+# ---- S6, S7, O9 - O14: versions as partitions of a plain table ------------------------------
 
 @register("version_as_of", dml_sql("select * from v2"))
 def version_as_of(spark, d):
-    return dml_table(spark, d).read(version=2)
+    return _versions(spark, d)[1].filter("version = 2").drop("version")
 
 
 @register("timestamp_as_of", dml_sql("select * from v3"))
 def timestamp_as_of(spark, d):
-    return dml_table(spark, d).read_as_of(AS_OF)
+    """The version that was the latest at AS_OF: a scalar subquery that prunes the partitions."""
+    at = _commits(spark).filter(F.col("committed_at") <= F.lit(AS_OF).cast("timestamp_ntz")).agg(F.max("version").cast("int").alias("v"))
+    return _versions(spark, d)[1].filter(F.col("version") == at.scalar()).drop("version")
 
 
 @register("restore_version", dml_sql("select * from v3"))
 def restore_version(spark, d):
-    return dml_table(spark, d).read()
+    """The current version after version 3 was written again."""
+    return _versions(spark, d)[1].filter(F.col("version") == CURRENT).drop("version")
 
 
 _HISTORY_SQL = dml_sql("""
@@ -176,7 +181,8 @@ join (select 0 as v, 0 as num_rows union all select 1, count(*) from v1
                                                 "select cast(version as bigint) as version, operation, "
                                                 "cast(num_rows as bigint) as num_rows from (values", 1))
 def table_history(spark, d):
-    return dml_table(spark, d).history().select("version", "operation", "num_rows")
+    """Rows per version, counted by partition, next to what made them."""
+    return _history(spark, _versions(spark, d)[1]).select("version", "operation", "num_rows")
 
 
 @register("vacuum_dry_run", _HISTORY_SQL.replace(
@@ -184,12 +190,8 @@ def table_history(spark, d):
     "select cast(version as bigint) as version, cast(num_rows as bigint) as num_rows from (values", 1)
     + " where h.version < 6")
 def vacuum_dry_run(spark, d):
-    """``VACUUM t RETAIN 0 HOURS DRY RUN`` (check disabled): the versions whose files would
-    go, with their row counts; nothing is deleted."""
-    t = dml_table(spark, d)
-    gone = t.vacuum(retain_hours=0, dry_run=True, retention_check=False)
-    h = t.history()
-    return h.filter(F.col("version").isin(gone)).select("version", "num_rows")
+    """The versions whose partitions would go, with their rows; nothing is deleted."""
+    return _history(spark, _versions(spark, d)[1]).filter(F.col("version") < CURRENT).select("version", "num_rows")
 
 
 @register("vacuum_apply", _HISTORY_SQL.replace(
@@ -197,30 +199,32 @@ def vacuum_dry_run(spark, d):
     "select cast(version as bigint) as version, operation, version < 6 as vacuumed, "
     "version = 6 as readable from (values", 1))
 def vacuum_apply(spark, d):
-    """After ``VACUUM`` the history still lists every version; only the current one reads."""
-    t = dml_table(spark, d)
-    t.vacuum(retain_hours=0, retention_check=False)
-    readable = []
-    for v in range(7):
-        try:
-            t.read(v)
-            readable.append(v)
-        except FileNotFoundError:
-            pass
-    return t.history().select("version", "operation", "vacuumed",
-                              F.col("version").isin(readable).alias("readable"))
-
-
-@register("describe_table", """select * from (values ('clientid', 'bigint'), ('email', 'string'),
-  ('country', 'string'), ('channel', 'string'), ('creation_date', 'timestamp_ntz'))
-  t(col_name, data_type)""")
+    """After the older partitions are dropped every version is still listed; only the current one has rows."""
+    path, rows = _versions(spark, d)
+    for n in range(CURRENT):
+        drop_partition(spark, path, "version", n)
+    left = _history(spark, spark.read.schema(rows.schema).parquet(path))
+    return left.select("version", "operation", (F.col("version") < CURRENT).alias("vacuumed"), (F.col("num_rows") > 0).alias("readable"))
+
+
+@register("describe_table", dml_sql("\nunion all ".join(
+    f"select '{c}' as col_name, '{t}' as data_type, count({c}) as filled from v3"
+    for c, t in (("clientid", "bigint"), ("email", "string"), ("country", "string"), ("channel", "string"), ("creation_date", "timestamp_ntz")))))
 def describe_table(spark, d):
-    return dml_table(spark, d, through=1).describe().select("col_name", "data_type")
+    """Names and types as stored, with how many rows of the current version have a value."""
+    rows = _versions(spark, d)[1].filter(F.col("version") == CURRENT).drop("version")
+    counts = rows.agg(*[F.count(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(rows.schema.fields)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("col_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                                                     F.col(f"c{i}").alias("filled")) for i, f in enumerate(rows.schema.fields)])))
 
 
 @register("table_detail")
 def table_detail(spark, d):
-    return dml_table(spark, d).detail()
+    """Files and bytes of the current version, from the metadata of the files its rows are in."""
+    rows = _versions(spark, d)[1].filter(F.col("version") == CURRENT)
+    files = rows.groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.lit("parquet").alias("format"), F.count(F.lit(1)).alias("num_files"), F.sum("file_size").alias("size_in_bytes"),
+                     F.sum("n").alias("num_rows"))
 
 
 # ---- S1 - S3, K1 - K8: files and tables --------------------------------------------------
@@ -476,5 +480,7 @@ def catalog_tables(spark, d):
     "select 'parquet' as format, (select count(*) from v3) as num_rows, "
     "cast(6 as integer) as version"))
 def table_detail_exact(spark, d):
-    """The deterministic part of ``DESCRIBE DETAIL`` after the script (current = restored v3)."""
-    return dml_table(spark, d).detail().select("format", "num_rows", "version")
+    """Format, rows and number of the current version (3 written again)."""
+    rows = _versions(spark, d)[1]
+    return (rows.filter(F.col("version") == rows.agg(F.max("version")).scalar())
+            .agg(F.lit("parquet").alias("format"), F.count(F.lit(1)).alias("num_rows"), F.max("version").alias("version")))

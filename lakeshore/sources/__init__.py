@@ -1 +1 @@
-"""Scans and sinks: test-table mapping, pipe-separated files, versioned snapshots."""
+"""Scans and sinks: test-table mapping, pipe-separated and landing files, bucketed tables, refreshes."""

@@ -1,51 +1,14 @@
-"""Versioned snapshots, landing files and the pipeline runner."""
+"""Landing files and the pipeline runner."""
 
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakeshore.operators import changes as X
 from lakeshore.session import fresh_path
 from lakeshore.sources import csv as C
-from lakeshore.sources.snapshots import (RetentionTooShort, SnapshotTable, VersionNotFound,
-                                         VersionVacuumed)
 from tests.conftest import SF_SMALL
 
-T0 = dt.datetime(2024, 1, 1)
-
-
-def test_versions_time_travel_restore_vacuum(spark):
-    t = SnapshotTable(spark, fresh_path(spark, "t_versions"))
-    t.create(spark.createDataFrame([], "key int, value string").schema, committed_at=T0)
-    base = spark.createDataFrame([(1, "a"), (2, "b")], "key int, value string")
-    t.commit(base, "WRITE", committed_at=T0 + dt.timedelta(hours=1))
-    t.commit(X.update_where(t.read(), F.col("key") == 1, {"value": F.lit("z")}), "UPDATE",
-             committed_at=T0 + dt.timedelta(hours=2))
-    t.commit(X.delete_where(t.read(), F.col("key") == 2), "DELETE",
-             committed_at=T0 + dt.timedelta(hours=3))
-    assert sorted(t.read(1).collect()) == [(1, "a"), (2, "b")]
-    assert sorted(t.read().collect()) == [(1, "z")]
-    assert sorted(t.read_as_of(T0 + dt.timedelta(hours=2, minutes=5)).collect()) == [(1, "z"), (2, "b")]
-    with pytest.raises(VersionNotFound):
-        t.read_as_of(T0 - dt.timedelta(days=1))
-    t.restore(1, committed_at=T0 + dt.timedelta(hours=4))
-    assert sorted(t.read().collect()) == [(1, "a"), (2, "b")]
-    hist = [(r.version, r.operation) for r in t.history().collect()]
-    assert hist == [(4, "RESTORE"), (3, "DELETE"), (2, "UPDATE"), (1, "WRITE"), (0, "CREATE TABLE")]
-    with pytest.raises(RetentionTooShort):
-        t.vacuum(retain_hours=0)
-    assert t.vacuum(retain_hours=0, dry_run=True, retention_check=False) == [0, 1, 2, 3]
-    assert t.read(2).count() == 2                         # dry run deleted nothing
-    t.vacuum(retain_hours=0, retention_check=False)
-    with pytest.raises(VersionVacuumed):
-        t.read(2)
-    assert t.history().count() == 5                       # history still lists every version
-    assert t.read().count() == 2
-    d = t.detail().collect()[0]
-    assert d.num_rows == 2 and d.version == 4 and d.num_files >= 1
-
-
 def test_csv_roundtrip_and_bad_values(spark, tmp_path):
     p = str(tmp_path / "t_csv")
     lines = ["a|n|ts", '1|5|2024-01-02 03:04:05', '2|x|2024-01-02 03:04:05',
