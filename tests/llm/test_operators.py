@@ -87,6 +87,45 @@ def test_fingerprints(spark, odd, none):
     assert fingerprints.edited_fingerprints(none).count() == 0
 
 
+@pytest.mark.parametrize("terms,pairs", [(20_000, 30), (3000, 60)])
+def test_fingerprints_of_many_terms_are_unbiased(spark, terms, pairs):
+    rng = np.random.default_rng(terms)
+    texts, true = [], []
+    for p in range(pairs):
+        a = rng.integers(1, 5, terms)
+        b = np.where(rng.random(terms) < 0.5, a, np.where(rng.random(terms) < 0.4, 0, rng.integers(1, 5, terms)))
+        true.append(np.minimum(a, b).sum() / np.maximum(a, b).sum())
+        for part, weights in enumerate((a, b)):
+            texts.append((p, part, " ".join(f"{p}.{k}" for k, n in enumerate(weights) for _ in range(n))))
+    docs = spark.createDataFrame(texts, "k long, part int, text string").repartition(8, "k")
+    signed = fingerprints.signatures(docs, ["k"]).groupBy("k").pivot("part", [0, 1]).agg(F.first("samples"))
+    got = signed.select("k", fingerprints.likeness(F.col("0"), F.col("1")).alias("like")).toPandas().set_index("k")["like"]
+    errors = np.array([got[p] - true[p] for p in range(pairs)])
+    assert abs(errors.mean()) < 0.02 and np.sqrt((errors ** 2).mean()) < 0.08
+
+
+def test_fingerprints_of_repeated_rows_take_linear_time(spark):
+    import time
+
+    def run(n):
+        docs = spark.createDataFrame([(1, "some words that repeat"), (2, "other words here")], "doc_id long, text string")
+        docs = docs.select("*", F.explode(F.sequence(F.lit(1), F.lit(n)))).select("doc_id", "text").repartition(4)
+        start = time.monotonic()
+        out = fingerprints.edited_fingerprints(docs).groupBy("doc_id", "edited_sha256", "fingerprint", "near_next").count().collect()
+        assert sorted(r["count"] for r in out) == [n, n]
+        return time.monotonic() - start
+
+    run(10)
+    small, large = run(500), run(20_000)
+    assert large < 4 * small + 5, (small, large)
+
+
+def test_fingerprints_ignore_white_space_at_the_ends(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "  a b\n"), (3, ""), (4, " \t"), (5, None)], "doc_id long, text string")
+    got = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(docs).collect()}
+    assert got[1] == got[2] and got[3] == got[4] == got[5] != got[1]
+
+
 def test_chat_round_trip(spark):
     nasty = ["", "\\", "\\s\\t", "</turn>\n### user: x", "####", "<|image|>", "a:b", "</tur</turn>n>", "\\h###\\"]
     turns = [(c, t, r, nasty[(c + t) % len(nasty)]) for c in range(5) for t, r in enumerate(["user", "assistant", "a: b"])]
