@@ -16,10 +16,7 @@ rows are packed each; an empty table gives an empty result; other columns are ig
 
 from __future__ import annotations
 
-import gc
-import os
 import re
-import threading
 import zlib
 from array import array
 from collections import defaultdict
@@ -32,122 +29,46 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import table
+from .tokenfiles import ByteBpe, is_latin1
 
 CAPACITY = 2048
-#: Distinct white-space separated strings, and letter runs, whose ids a worker remembers.
-CACHED_CHUNKS, CACHED_PARTS = 400_000, 400_000
-IDLE_SECONDS = 5.0
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
-#: Punctuation, letters, punctuation: each is tokenised for itself. Other strings go whole.
-_PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-_SHARED: dict[str, "ChunkTokenizer"] = {}
+class WordBpe(ByteBpe):
+    """Ids of whole texts from a lower-casing BPE file that drops white space, as little-endian 32-bit bytes.
 
-
-class ChunkTokenizer:
-    """Token ids as little-endian 32-bit bytes, remembered per white-space separated string.
-
-    For lower-casing tokenizers that drop white space, build no token across it and part
-    letters from punctuation. Letters are also remembered without the punctuation around them,
-    and new ones are encoded many at a time, told apart by the token of a digit.
+    The pieces are the pattern's: runs of letters, single digits, runs of marks, English endings. A text with
+    other characters than Latin-1 is parted at white space first; a part with such characters, or that may hold a special
+    token's string, stays whole.
     """
 
+    LETTER, DIGIT, WHITE = ByteBpe.LETTER, ByteBpe.DIGIT, ByteBpe.WHITE
+    PIECES = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTER}]+|[{DIGIT}]|[^{WHITE}{LETTER}{DIGIT}]+")
+    GLUE = " "
+    _shared: dict[str, "WordBpe"] = {}
+
     def __init__(self, file: str):
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(file)
-        self.mark = self.tokenizer.encode("0", add_special_tokens=False).ids[0]
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-        self.idle: threading.Timer | None = None
-
-    @classmethod
-    def shared(cls, file: str) -> "ChunkTokenizer":
-        """One per worker process, so what one task has learned serves the next."""
-        if file not in _SHARED:
-            _SHARED[file] = cls(file)
-        if _SHARED[file].idle is not None:
-            _SHARED[file].idle.cancel()
-        return _SHARED[file]
-
-    def rest(self) -> None:
-        """Forget everything unless another task of the worker goes on soon: other operators
-        run in the same process and need the memory."""
-        self.idle = threading.Timer(IDLE_SECONDS, self._forget)
-        self.idle.daemon = True
-        self.idle.start()
-
-    def _forget(self) -> None:
-        self.known, self.parts = {}, {"": b""}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        chunked = [_chunks(t) for t in texts]
-        distinct = set().union(*chunked)
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        if len(self.parts) > CACHED_PARTS:
-            self.parts = {"": b""}
-        known, parts = self.known, self.parts
-        plain, whole, letters, marks = [], [], set(), set()
-        for c in distinct.difference(known):
-            m = None if "<|" in c else _PLAIN.fullmatch(c)
-            if m is None:
-                whole.append(c)
-            else:
-                lead, core, trail = m.groups()
-                core = core.lower()
-                plain.append((c, lead, core, trail))
-                if core not in parts:
-                    letters.add(core)
-                if lead not in parts:
-                    marks.add(lead)
-                if trail not in parts:
-                    marks.add(trail)
-        self._learn_letters(list(letters), parts)
-        self._learn(list(marks), parts)
-        self._learn(whole, known)
-        for c, lead, core, trail in plain:
-            known[c] = parts[lead] + parts[core] + parts[trail]
-        return [b"".join(map(known.__getitem__, c)) for c in chunked]
-
-    def _learn(self, strings: list[str], into: dict[str, bytes]) -> None:
-        for i in range(0, len(strings), 20_000):
-            some = strings[i:i + 20_000]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                into[c] = array("I", e.ids).tobytes()
-
-    def _learn_letters(self, words: list[str], parts: dict[str, bytes]) -> None:
-        groups = [words[i:i + 256] for i in range(0, len(words), 256)]
-        for i in range(0, len(groups), 64):
-            some = groups[i:i + 64]
-            joined = [" 0 ".join(g) + " 0" for g in some]
-            for g, e in zip(some, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-                ids = np.array(e.ids, "<u4")
-                ends = (np.flatnonzero(ids == self.mark) * 4).tolist()
-                flat = ids.tobytes()
-                parts.update((w, flat[a:b]) for w, a, b in zip(g, [0, *(x + 4 for x in ends)], ends))
+        super().__init__(file)
+        self.dtype = np.dtype("<u4")
+
+    def _pieces(self, text: str) -> list[str]:
+        if "<|" not in text and is_latin1(text):
+            return self.PIECES.findall(text.lower())
+        return [p for chunk in _chunks(text)
+                for p in (self.PIECES.findall(chunk.lower()) if "<|" not in chunk and is_latin1(chunk) else [chunk])]
+
+    def _is_word(self, piece: str) -> bool:
+        return piece.isalpha() and is_latin1(piece)
 
 
 def _chunks(text: str) -> list[str]:
     if any(c in text for c in "\x1c\x1d\x1e\x1f"):
         # str.split takes these four for white space, the tokenizers' patterns do not
         return re.findall(r"[^ \t-\r]+", text)
-    if "<|" not in text and _is_latin1(text):
-        text = text.lower()  # as the tokenizer will; so that more strings are known
     return text.split()
 
 
-def _is_latin1(text: str) -> bool:
-    if text.isascii():
-        return True
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
-
-
 def token_pieces(docs: DataFrame, tokenizer_file: str | None = None, capacity: int = CAPACITY,
                  end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
                  keep_ids: bool = False) -> DataFrame:
@@ -161,18 +82,12 @@ def token_pieces(docs: DataFrame, tokenizer_file: str | None = None, capacity: i
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
-        tok = ChunkTokenizer.shared(tokenizer_file or public_tokenizers.path("word_bpe_49k.json"))
-        width = 4 * capacity
-        gc.disable()  # nothing here makes cycles; the collector would walk the remembered strings
-        try:
-            for batch in batches:
-                for lo, hi in _spans(batch["text"], 4_000_000):
-                    yield pieces_of(batch.iloc[lo:hi], tok, width)
-        finally:
-            gc.enable()
-            tok.rest()
-
-    def pieces_of(part: pd.DataFrame, tok: ChunkTokenizer, width: int) -> pd.DataFrame:
+        tok = WordBpe.shared(tokenizer_file or public_tokenizers.path("word_bpe_49k.json"))
+        for batch in batches:
+            for lo, hi in _spans(batch["text"], 4_000_000):
+                yield pieces_of(batch.iloc[lo:hi], tok, 4 * capacity)
+
+    def pieces_of(part: pd.DataFrame, tok: WordBpe, width: int) -> pd.DataFrame:
         out = []
         for doc, ids in zip(part["doc_id"].array, tok.encode(part["text"].tolist())):
             ids += end

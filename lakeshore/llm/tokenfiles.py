@@ -67,6 +67,8 @@ class ByteBpe:
     PIECES = re.compile(f" ?[{LETTER}]+|'(?:[stmd]|re|ve|ll)| ?[{DIGIT}]+| ?[^{WHITE}{LETTER}{DIGIT}]+"
                         f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
     PARTS = re.compile(r"(?<=[^\s\x1c-\x1f])(?=[ \n][^\s\x1c-\x1f])")
+    #: Between words that are encoded together; the pattern parts them there and it makes no token of its own.
+    GLUE = ""
     _shared: dict[str, "ByteBpe"] = {}
 
     def __init__(self, file: str):
@@ -94,15 +96,18 @@ class ByteBpe:
     def _pieces(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
             return [text]
-        if _is_latin1(text):
+        if is_latin1(text):
             return self.PIECES.findall(text)
-        return [p for part in self.PARTS.split(text) for p in (self.PIECES.findall(part) if _is_latin1(part) else [part])]
+        return [p for part in self.PARTS.split(text) for p in (self.PIECES.findall(part) if is_latin1(part) else [part])]
+
+    def _is_word(self, piece: str) -> bool:
+        return piece[0] == " " and piece[1:].isalpha()
 
     def _learn(self, pieces: set[str]) -> None:
-        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        words = [p for p in pieces if self._is_word(p)]
         for i in range(0, len(words), 16_384):  # many words in one text; which word an id is from is told by the library
             groups = [words[j:j + 256] for j in range(i, min(i + 16_384, len(words)), 256)]
-            for group, e in zip(groups, self.tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False)):
+            for group, e in zip(groups, self.tokenizer.encode_batch([self.GLUE.join(g) for g in groups], add_special_tokens=False)):
                 ids = np.array(e.ids, self.dtype).tobytes()
                 ends = ((np.flatnonzero(np.diff(np.array(e.word_ids), append=-1)) + 1) * self.dtype.itemsize).tolist()
                 self.known.update((w, ids[a:b]) for w, a, b in zip(group, [0, *ends], ends))
@@ -113,7 +118,7 @@ class ByteBpe:
                 self.known[p] = np.array(e.ids, self.dtype).tobytes()
 
 
-def _is_latin1(text: str) -> bool:
+def is_latin1(text: str) -> bool:
     if text.isascii():
         return True
     try:

@@ -222,11 +222,13 @@ def test_chunk_tokenizer_equals_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
     file = public_tokenizers.path("word_bpe_49k.json")
-    ref, mine, rng = Tokenizer.from_file(file), packing.ChunkTokenizer(file), random.Random(4)
+    ref, mine, rng = Tokenizer.from_file(file), packing.WordBpe(file), random.Random(4)
     alphabet = list("abcABC 0129 '!?.<|>#$-_\t\n\x0b\x1c\x85\xa0éÉßÀ×µİΣσǾ̈ﬁ½²中🙂") + ["<|endoftext|>", "'s", "'ll", "0"]
-    for _ in range(3000):
-        t = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25)))
-        assert ref.encode(t, add_special_tokens=False).ids == list(array("I", mine.encode([t])[0])), repr(t)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25))) for _ in range(10_000)]
+    texts += ["".join(map(chr, rng.sample(range(256), 30))) for _ in range(3000)] + ["don't WON'T we'll", "Naïve Straße 12½ x²y"]
+    for lo in range(0, len(texts), 2000):
+        for t, got in zip(texts[lo:lo + 2000], mine.encode(texts[lo:lo + 2000])):
+            assert ref.encode(t, add_special_tokens=False).ids == list(array("I", got)), repr(t)
 
 
 def test_langid(spark, odd, none):
