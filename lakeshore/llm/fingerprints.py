@@ -32,7 +32,7 @@ from .common import global_rank, table
 
 LANES, PER_LANE = 8, 8
 SAMPLES = LANES * PER_LANE
-GRID = 1024
+GRID = 256
 WIDTH = 4
 SPACE = r"[\x20\x09-\x0D]+"
 KEY = ["k1", "k2"]
@@ -47,7 +47,7 @@ def _low_quantile(u: Column) -> Column:
     return s * (1 + s * (1 / 3 + s * (11 / 72 + s * (43 / 540 + s * (769 / 17280)))))
 
 
-def _high_quantile(v: Column, steps: int = 6) -> Column:
+def _high_quantile(v: Column, steps: int = 4) -> Column:
     """Gamma(2, 1) quantile for 1 - v with a small v: (1 + x) exp(-x) = v, as a fixed point."""
     log = -F.log(v)
     x = log + F.log(log)
@@ -81,15 +81,15 @@ def _tables() -> dict[str, Column]:
 def _sample(term: Column, log_weight: Column, sample: Column, tables: dict[str, Column]) -> Column:
     """Rank (upper bits) and sample (lower 24 bits) of a term, as one long whose minimum wins.
 
-    Of the hash's 64 bits 10 pick the step of r, 10 that of c, 10 each the place inside, 24 are b.
+    Of the hash's 64 bits 8 pick the step of r, 8 that of c, 12 each the place inside, 24 are b.
     """
     h = F.xxhash64(term, sample)
-    bits = lambda at: F.shiftright(h, at).bitwiseAND(1023).cast("int")
-    i_r, i_c = bits(0), bits(10)
-    place = lambda at: (bits(at).cast("double") + 0.5) * (1 / 1024)
+    bits = lambda at, n: F.shiftright(h, at).bitwiseAND((1 << n) - 1).cast("int")
+    i_r, i_c = bits(0, 8), bits(8, 8)
+    place = lambda at: (bits(at, 12).cast("double") + 0.5) * (1 / 4096)
     tail = lambda salt: (F.shiftrightunsigned(F.xxhash64(term, sample, F.lit(salt)), 11).cast("double") + 0.5) * (2.0 ** -53 / GRID)
-    r = F.when(i_r == GRID - 1, _high_quantile(tail(1))).otherwise(tables["r"][i_r] + place(20) * tables["r_step"][i_r])
-    log_c = F.when(i_c == 0, F.log(_low_quantile(tail(2)))).otherwise(tables["c"][i_c] + place(30) * tables["c_step"][i_c])
+    r = F.when(i_r == GRID - 1, _high_quantile(tail(1))).otherwise(tables["r"][i_r] + place(16) * tables["r_step"][i_r])
+    log_c = F.when(i_c == 0, F.log(_low_quantile(tail(2)))).otherwise(tables["c"][i_c] + place(28) * tables["c_step"][i_c])
     b = F.shiftrightunsigned(h, 40).cast("double") * (2.0 ** -24)
     t = F.floor(log_weight / r + b)
     rank = log_c - r * (t.cast("double") - b) - r
