@@ -223,3 +223,52 @@ def op13_merkle(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op13_merkle": op13_merkle}
+
+_FIELD = "case when {c} is null then '-' else strlen(cast({c} as varchar)) || ':' || cast({c} as varchar) end"
+_LEAF = "sha256(concat(" + ", ".join(_FIELD.format(c=c) for c in FIELDS[:-1]) + ", {text}))"
+# crc32 by its byte table, itself made from the reversed polynomial; the tree and the folds by recursion over levels
+ORACLES = {"op13_merkle": f"""
+with recursive crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+docs as (
+  select doc_id, lang, {_LEAF.format(text=_FIELD.format(c='text'))} as leaf,
+         {_LEAF.format(text=_FIELD.format(c="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))} as lowered,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(cast(doc_id as varchar), ''), lambda d: cast(ascii(d) as bigint))),
+                         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as crc
+  from documents, crc_table),
+leaves as (
+  select *, row_number() over () as id, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+         count(*) over (partition by lang) as n from docs),
+nodes(lang, lvl, pos, h, n) as (
+  select lang, 0, pos, leaf, n from leaves
+  union all
+  select lang, lvl + 1, pos // 8, sha256(string_agg(h, '' order by pos)), (n + 7) // 8 from nodes where n > 1
+  group by lang, lvl, pos // 8, n),
+subroots as (
+  select lang, h, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from nodes where n = 1),
+upper_nodes(lvl, pos, h, n) as (
+  select 0, pos, h, n from subroots
+  union all
+  select lvl + 1, pos // 8, sha256(string_agg(h, '' order by pos)), (n + 7) // 8 from upper_nodes where n > 1 group by lvl, pos // 8, n),
+steps as (
+  select d.id, 0 as phase, x.lvl, coalesce(string_agg(x.h, '' order by x.pos) filter (x.pos < d.pos >> (3 * x.lvl)), '') as l,
+         coalesce(string_agg(x.h, '' order by x.pos) filter (x.pos > d.pos >> (3 * x.lvl)), '') as r
+  from leaves d join nodes x on x.lang is not distinct from d.lang and x.n > 1 and x.pos >> 3 = d.pos >> (3 * x.lvl + 3)
+  group by d.id, x.lvl
+  union all
+  select d.id, 1, x.lvl, coalesce(string_agg(x.h, '' order by x.pos) filter (x.pos < s.pos >> (3 * x.lvl)), ''),
+         coalesce(string_agg(x.h, '' order by x.pos) filter (x.pos > s.pos >> (3 * x.lvl)), '')
+  from leaves d join subroots s on s.lang is not distinct from d.lang
+    join upper_nodes x on x.n > 1 and x.pos >> 3 = s.pos >> (3 * x.lvl + 3)
+  group by d.id, x.lvl),
+numbered as (select *, row_number() over (partition by id order by phase, lvl) as k from steps),
+folds(id, k, h) as (
+  select id, cast(1 as bigint), case when crc % 3 = 0 then lowered else leaf end from leaves
+  union all
+  select f.id, f.k + 1, sha256(s.l || f.h || s.r) from folds f join numbered s on s.id = f.id and s.k = f.k),
+proofs as (select id, sha256(string_agg(l || r, '' order by k)) as proof_sha256, max(k) + 1 as k from numbered group by id),
+root as (select h as root from upper_nodes where n = 1)
+select d.doc_id, d.leaf, s.h as subroot, root.root, coalesce(p.proof_sha256, sha256('')) as proof_sha256, f.h as folded_root, f.h = root.root as verified
+from leaves d join subroots s on s.lang is not distinct from d.lang cross join root left join proofs p on p.id = d.id
+  join folds f on f.id = d.id and f.k = coalesce(p.k, 1)"""}

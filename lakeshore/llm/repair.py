@@ -354,3 +354,67 @@ def op11_repair(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op11_repair": op11_repair}
+
+# The same in SQL: crc32 by its byte table, and the least (cost, audit) per state, row by row. A way is
+# (state before, state after, cost, letters, lines written before the row's own); the row's own line may follow.
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLES = {"op11_repair": f"""
+with recursive crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce(list_concat([4294967295], list_transform(
+           string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+           lambda d: cast(ascii(d) as bigint))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 as fault
+  from conversations, crc_table),
+damaged as (
+  select conv_id, turn, case fault when 4 then 'user' else role end as role,
+         case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from keyed, range(2) copies(copy) where fault <> 0 and (copy = 0 or fault = 3)),
+every as (select distinct conv_id from conversations),
+convs as (select conv_id, row_number() over () as conv from every),
+placed as (
+  select c.conv, d.*, left(d.role, 1) as initial, rtrim(d.text, {_WHITE}) as body,
+         row_number() over (partition by c.conv order by d.turn nulls first, d.role, d.text) as i
+  from damaged d join convs c on c.conv_id is not distinct from d.conv_id),
+judged as (
+  select *, body = '' as blank, body <> '' and row_number() over (partition by conv, role, text order by i) > 1 as duplicate,
+         lag(initial) over (partition by conv order by i) || initial as pair from placed),
+rows_ as (select *, not blank and not duplicate and right(body, 1) not in ('.', '!', '?') as truncated from judged),
+put(a, b, cost, letters, lines) as (values
+  ('', '', 0, '', []::varchar[]), ('s', 's', 0, '', []), ('u', 'u', 0, '', []), ('a', 'a', 0, '', []),
+  ('', 'u', {INSERT}, 'I', ['user:']), ('s', 'u', {INSERT}, 'I', ['user:']), ('a', 'u', {INSERT}, 'I', ['user:']), ('u', 'a', {INSERT}, 'I', ['assistant:']),
+  ('', 'a', {2 * INSERT}, 'II', ['user:', 'assistant:']), ('s', 'a', {2 * INSERT}, 'II', ['user:', 'assistant:']),
+  ('a', 'a', {2 * INSERT}, 'II', ['user:', 'assistant:']), ('u', 'u', {2 * INSERT}, 'II', ['assistant:', 'user:'])),
+step(a, initial, b) as (values ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')),
+treat as (
+  select r.conv, r.i, q.a as a, q.a as b, {DELETE} as cost, 'D' as letter, []::varchar[] as line
+  from rows_ r, (select distinct a from put) q
+  union all
+  select r.conv, r.i, s.a, s.b, {TRUNCATED} * cast(r.truncated as int), 'K', [r.role || ':' || r.text]
+  from rows_ r join step s on s.initial = r.initial where not r.blank and not r.duplicate
+  union all
+  select r.conv, r.i, s.a, s.b, {REROLE} + {TRUNCATED} * cast(r.truncated as int), 'R',
+         [case s.initial when 'u' then 'user' else 'assistant' end || ':' || r.text]
+  from rows_ r, step s where s.initial <> 's' and not r.blank and not r.duplicate),
+best(conv, i, state, w) as (
+  select conv, cast(0 as bigint), '', {{'cost': cast(0 as bigint), 'audit': '', 'lines': []::varchar[]}} from convs
+  union all
+  select x.conv, x.i + 1, t.b, min({{'cost': cast(x.w.cost + p.cost + t.cost as bigint), 'audit': x.w.audit || p.letters || t.letter,
+                                    'lines': list_concat(list_concat(x.w.lines, p.lines), t.line)}})
+  from best x join put p on p.a = x.state join treat t on t.conv = x.conv and t.i = x.i + 1 and t.a = p.b
+  group by x.conv, x.i, t.b),
+lengths as (select conv, count(*) as n from rows_ group by conv),
+done as (
+  select x.conv, min({{'cost': cast(x.w.cost + p.cost as bigint), 'audit': x.w.audit || p.letters, 'lines': list_concat(x.w.lines, p.lines)}}) as w
+  from best x join lengths l on l.conv = x.conv and l.n = x.i join put p on p.a = x.state and p.b in ('', 'a') group by x.conv),
+told as (
+  select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+         count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated,
+         count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal
+  from rows_ group by conv)
+select c.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(w.cost, 0) as cost, coalesce(w.audit, '') as audit,
+       sha256(coalesce(array_to_string(w.lines, chr(10)), '')) as repaired_sha256
+from convs c left join told using (conv) left join done using (conv)"""}
