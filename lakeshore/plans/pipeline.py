@@ -90,7 +90,8 @@ def merge_silver(spark: SparkSession, path: str, source: DataFrame, key: str,
                  schema: StructType) -> DataFrame:
     """Insert-only merge of ``source`` into the Parquet table at ``path``: rows whose key is not
     there are appended, and no stored row is written again. One writer per table; a merge that
-    is repeated after a failure finds its rows there."""
+    is repeated after a failure finds its rows there. A NULL key matches nothing, so such a row, which silver
+    declares impossible, would be appended by every run (``sources.bucketed.merge_insert`` refuses it)."""
     create_table(spark, path, schema)
     new = anti_join(source.select(*schema.names), spark.read.schema(schema).parquet(path), key)
     new.write.mode("append").parquet(path)

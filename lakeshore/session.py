@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Application id -> the folders of its written intermediate tables.
+_WRITTEN: dict[str, list[str]] = {}
+
 
 def build_session(master: str | None = None, app: str = "lakeshore",
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -86,15 +89,37 @@ def materialize(df, name: str):
     Cuts the lineage of a result that several later steps read (every step then scans
     files instead of recomputing joins and aggregates), survives the loss of executors
     (unlike ``cache`` or a local checkpoint), and keeps Parquet column pruning and filter
-    push-down for the readers.
+    push-down for the readers. The files stay until ``release_intermediates``.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.mode("overwrite").parquet(path)
     # the schema is known: no footer pass to infer it
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_intermediates(spark: SparkSession, mark: int = 0) -> int:
+    """Delete what ``materialize`` has written in this application since ``intermediates_mark`` gave ``mark``.
+
+    For long sessions, once the results that read these files have been written or collected; returns how
+    many tables went.
+    """
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    gone = written[mark:]
+    del written[mark:]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in gone:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(gone)
+
+
+def intermediates_mark(spark: SparkSession) -> int:
+    """How many intermediate tables this application has written so far."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``lakeshore`` importable in the executors' Python workers (once per context).
 

@@ -41,3 +41,14 @@ def test_shared_root_needs_a_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         shared_root(Session())
+
+
+def test_written_intermediates_can_be_released(spark):
+    import os
+    from lakeshore.session import intermediates_mark, materialize, release_intermediates
+    mark = intermediates_mark(spark)
+    kept = [materialize(spark.range(3), "t_release") for _ in range(2)]
+    folders = [os.path.dirname(df.inputFiles()[0].replace("file://", "")) for df in kept]
+    assert all(df.count() == 3 for df in kept) and all(map(os.path.isdir, folders))
+    assert release_intermediates(spark, mark) == 2 and not any(map(os.path.isdir, folders))
+    assert release_intermediates(spark, mark) == 0
