@@ -54,14 +54,34 @@ ROLES = {"main": 1, "article": 1, "navigation": -1, "banner": -1, "contentinfo":
 TIE = 1.5
 
 
+#: What the elements around a block can add up to, from the innermost outwards; see _outwards.
+LEANS = (-4.0, -2.0, 0.0, 1.0, 2.0, 3.0, 4.0)
+
+
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "lean", "silent", "link", "weak")
+    """An open element with what a page's reader asks of its ancestors, so that none is walked again:
+    its nearest block, the open element of its tag outside it, and where each sum of leans ends."""
+
+    __slots__ = ("tag", "parent", "depth", "silent", "link", "block", "outer", "inside", "ends")
 
-    def __init__(self, tag, parent, lean=0, silent=False, weak=False):
-        self.tag, self.parent, self.lean, self.weak = tag, parent, lean, weak
+    def __init__(self, tag, parent, lean=0, silent=False, weak=False, outer=None):
+        self.tag, self.parent, self.outer = tag, parent, outer
         self.depth = parent.depth + 1 if parent else 0
         self.silent = silent or bool(parent and parent.silent)
         self.link = tag == "a" or bool(parent and parent.link)
+        self.block = self if parent is None or tag in BLOCKS else parent.block
+        self.inside = lean > 0 or bool(parent and parent.inside)
+        ends = parent.ends if parent else dict(zip(LEANS, LEANS))
+        self.ends = {x: ends[_outwards(x, tag, lean, weak)] for x in LEANS} if lean else ends
+
+
+def _outwards(x: float, tag: str, lean: int, weak: bool) -> float:
+    """The sum so far, past one more element that leans to content (1) or boilerplate (-1)."""
+    if not x:  # the innermost element that says something
+        return lean * (2.0 if weak else 4.0)
+    if x < 0 < lean and tag in CONTENT and abs(x) < 4:
+        return 1.0  # an article's own header
+    return x - 1.0 if x > 0 > lean and not weak else x
 
 
 def _lean(tag: str, attrs: dict) -> tuple[int, bool]:
@@ -92,6 +112,7 @@ class PageReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.top = _Element("#page", None)
+        self.open: dict[str, _Element | None] = {}  # the innermost open element of each tag
         self.blocks: list[tuple[str, int, _Element]] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -104,28 +125,28 @@ class PageReader(HTMLParser):
         self.parts, self.linked = [], 0
 
     def _pop_to(self, element: _Element):
-        self.top = element.parent
+        """Close ``element`` and all inside it."""
+        while self.top is not element.parent:
+            self.open[self.top.tag] = self.top.outer
+            self.top = self.top.parent
 
     def handle_starttag(self, tag, attrs):
-        if tag == "body" and self.top.silent:
+        if tag == "body":
             while self.top.silent:
-                self.top = self.top.parent
+                self._pop_to(self.top)
         if tag in BLOCKS:
             self.flush()
-            shut = CLOSES.get(tag, frozenset()) | ({"p"} if tag in BLOCKS else frozenset())
-            at = self.top
-            while at.parent is not None and at.tag not in SCOPES.get(tag, frozenset()):
-                if at.tag in shut:
-                    self._pop_to(at)
-                elif at.tag in BLOCKS:
-                    break
-                at = at.parent
+            shut = CLOSES.get(tag, frozenset()) | {"p"}
+            at = self.top.block  # only blocks are closed by a block
+            while at.parent is not None and at.tag not in SCOPES.get(tag, frozenset()) and at.tag in shut:
+                self._pop_to(at)
+                at = at.parent.block
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
         lean, weak = _lean(tag, dict(attrs)) if tag in BLOCKS or attrs else (0, True)
-        self.top = _Element(tag, self.top, lean, tag in SILENT, weak)
+        self.top = self.open[tag] = _Element(tag, self.top, lean, tag in SILENT, weak, self.open.get(tag))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -135,22 +156,16 @@ class PageReader(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self.flush()
-        at = self.top
-        while at.parent is not None and at.tag != tag:
-            if tag not in BLOCKS and at.tag in BLOCKS:
-                return  # an inline end tag closes nothing outside its block
-            at = at.parent
-        if at.parent is not None:
+        at = self.open.get(tag)
+        # an inline end tag closes nothing outside its block
+        if at is not None and (tag in BLOCKS or at.depth > self.top.block.depth):
             self._pop_to(at)
 
     def handle_data(self, data):
         if self.top.silent or not data:
             return
         if not self.parts or data.strip():
-            at = self.top
-            while at.parent is not None and at.tag not in BLOCKS:
-                at = at.parent
-            self.holder = at
+            self.holder = self.top.block
         self.parts.append(data)
         if self.top.link:
             self.linked += len(data.strip())
@@ -166,18 +181,7 @@ def read_blocks(page: str) -> list[tuple[str, int, _Element]]:
 
 def _odds(text: str, linked: int, element: _Element) -> float:
     """Log odds that a block is content."""
-    lean, at = 0.0, element
-    inside = False
-    while at is not None:
-        if at.lean:
-            inside = inside or at.lean > 0
-            if not lean:  # the innermost element that says something
-                lean = at.lean * (2.0 if at.weak else 4.0)
-            elif lean < 0 and at.lean > 0 and at.tag in CONTENT and abs(lean) < 4:
-                lean = 1.0  # an article's own header
-            elif lean > 0 and at.lean < 0 and not at.weak:
-                lean -= 1.0
-        at = at.parent
+    lean, inside = element.ends[0.0], element.inside
     words = text.count(" ") + 1
     value = lean + min(2.0, words / 12) - 0.6
     value -= (2.0 if inside else 4.0) * min(1.0, linked / max(1, len(text)))

@@ -281,6 +281,57 @@ def test_html(spark):
     assert got[2] == "" and got[None] == "" and len(got[3]) == 249_999
 
 
+LAYOUTS = [
+    # a blog: unclosed paragraphs, comments, a related list
+    ("""<body><div id=wrap><div class="topbar"><ul><li><a href=/>Home</a><li><a href=/a>About us</a></ul></div>
+     <div class="post"><h2>A day &mdash; at sea</h2><p>We left the harbour early, before the wind was up.
+     <p>By noon there was <i>nothing</i> but water around us, and nobody spoke.</div>
+     <div class="related"><h3>More posts</h3><ul><li><a href=1>Another day</a><li><a href=2>The harbour</a></ul></div>
+     <ol class="commentlist"><li><p>Lovely text, I was there too once upon a time.</li></ol>
+     <div id="footer">&copy; 2020 The sailor</div></div>""",
+     "A day \u2014 at sea\nWe left the harbour early, before the wind was up.\nBy noon there was nothing but water around us, and nobody spoke."),
+    # a table layout: the menu in one cell, the text in another
+    ("""<table><tr><td class=menu><a href=1>News</a><br><a href=2>Sport</a><td class=content>
+     <h1>Council votes</h1><p>The council voted on Monday, after a long debate, to keep the old bridge.</p>
+     <p>It will be repaired next year.</p></td></tr></table><form><p>Your e-mail</p><input></form>""",
+     "Council votes\nThe council voted on Monday, after a long debate, to keep the old bridge.\nIt will be repaired next year."),
+    # an article with its own header, a list, code and a cookie banner over it
+    ("""<div role="dialog" class="cookie-consent"><p>We use cookies to improve this site, please accept them all.</p></div>
+     <main><article><header><h1>Sorting lists</h1></header><p>A list is sorted in place, which needs no second list.</p>
+     <ul><li>It is stable.</li><li>It is fast.</li></ul><pre>xs.sort()</pre><script>track()</script></article></main>
+     <aside><p>Subscribe to our newsletter for more of this kind.</p></aside>""",
+     "Sorting lists\nA list is sorted in place, which needs no second list.\nIt is stable.\nIt is fast.\nxs.sort()")]
+
+
+@pytest.mark.parametrize("page,text", LAYOUTS)
+def test_html_layouts(page, text):
+    assert html.main_text(page) == text
+
+
+def test_html_of_unclosed_markup_takes_linear_time():
+    import time
+    makes = [lambda n: "<div>x " * n, lambda n: "<b>x" * n + "</i>" * n, lambda n: "<div class=nav>x " * n,
+             lambda n: "<b>" * n + "<p>t</p>" * n, lambda n: "<li>a<b>" * n, lambda n: "<article><header>x " * n]
+    for make in makes:
+        took = []
+        for n in (3000, 24_000):
+            start = time.process_time()
+            html.main_text(make(n))
+            took.append(time.process_time() - start)
+        assert took[1] < 24 * took[0] + 0.5, took                             # eight times the page; its square would be 64
+
+
+def test_html_odd_tables(spark):
+    schema = "page_id long, url string, html string, text string, n_chars string, block int"
+    page = "<article><p>Some words of text, long enough to stay here.</p></article>"
+    rows = [(1, "u", page, "x", "y", 1)] * 3 + [(None, None, None, None, None, None), (9007199254740993, "v", "</p></div>", "x", "y", 1)]
+    got = html.extract(spark.createDataFrame(rows, schema).repartition(2))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    text = "Some words of text, long enough to stay here."
+    assert Counter(map(tuple, got.collect())) == Counter({(1, "u", text, len(text)): 3, (None, None, "", 0): 1, (9007199254740993, "v", "", 0): 1})
+    assert html.extract(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_cut_is_minimal():
     rng = random.Random(6)
     for _ in range(60):
