@@ -5,8 +5,8 @@ its source's size. The whole part is certain; the fraction is a copy probability
 method rounds the fractions together: two documents fight, words move from one to the other
 until one of the probabilities is 0 or 1, and the other one fights on. A move keeps the
 expected words of the pair, so a source ends within one document of its target, and a move's
-direction is drawn so that each document's probability is kept in expectation. A last exchange
-of one document per source then closes what that last document left open.
+direction is drawn so that each document's probability is kept in expectation. A few last
+exchanges of one document per source then close what that last document left open.
 
 Fights run in a reduction tree: documents are hashed into blocks of about ``block`` rows,
 each block is folded to one undecided document, and those documents form the next level's
@@ -27,6 +27,8 @@ from ..session import materialize
 from .common import global_rank, uniform
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Exchanges of one document per source after the rounding.
+EXCHANGES = 3
 _UNIT = "struct<doc_id:{t},source:string,size:bigint,mult:bigint,base:bigint>"
 
 
@@ -141,7 +143,9 @@ def mix_plan(docs: DataFrame, weights=(5.0, 2.0, 1.0), limit: float = 3.0, block
         .join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
         .withColumn("open", (F.col("target") < F.col("source_size") * F.lit(limit)) & (F.col("size") > 0))
         .drop("__s"), "mix_rounded")
-    return _settle(plan).select("doc_id", "source", "size", F.col("mult").alias("n_rows"),
+    for k in range(EXCHANGES):
+        plan = materialize(_settle(plan), f"mix_settled{k}")
+    return plan.select("doc_id", "source", "size", F.col("mult").alias("n_rows"),
                                 (F.col("base") + F.col("extra")).alias("copies"), "source_size", "target")
 
 
@@ -149,7 +153,8 @@ def _settle(plan: DataFrame) -> DataFrame:
     """One exchange per source: the unit whose change brings the words taken nearest the target.
 
     The last undecided document of a source may be a long one. Per source one aggregate finds
-    the unit that, taken once more or once less, closes most of the gap, if any does.
+    the unit that, taken once more or once less, closes most of the gap, if any does. What is left is
+    closed by smaller units: the plan is settled EXCHANGES times.
     """
     words = F.col("size") * F.col("mult")
     gaps = plan.groupBy("source").agg(
@@ -164,7 +169,7 @@ def _settle(plan: DataFrame) -> DataFrame:
             .select(F.col("source").alias("__s"), F.col("m.doc_id").alias("__d"), F.col("m.size").alias("__z")))
     hit = F.col("__z").isNotNull()
     return (plan.join(best, at & F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("size") == F.col("__z")), "left")
-            .withColumn("extra", F.when(hit, 1 - F.col("extra")).otherwise(F.col("extra"))))
+            .withColumn("extra", F.when(hit, 1 - F.col("extra")).otherwise(F.col("extra"))).select(*plan.columns))
 
 
 def mix(docs: DataFrame, **kw) -> DataFrame:
