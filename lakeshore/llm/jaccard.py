@@ -252,13 +252,17 @@ def _visits(index: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def _visit_links(visits: DataFrame, chunks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links ``a, b`` between visitors and members of other components (one per visitor and component)."""
+    """Links ``a, b`` between visitors and members of other components (one per visitor and component).
+
+    A task holds a chunk and a tile of about VISITORS visitors, dealt by their own hash, so the visitors of a component of
+    any size are spread; inside a tile those of one component follow each other.
+    """
     visits = materialize(visits, "nj_visits")
     loads = visits.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("tiles"))
     members = (chunks.join(loads, "chunk").join(sets, "id")
                .select("chunk", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "id", "component", "s"))
     guests = (visits.join(loads, "chunk").join(chunks.select("id", "component"), "id").join(sets, "id")
-              .select("chunk", F.pmod(F.xxhash64("component"), F.col("tiles")).cast("int").alias("tile"),
+              .select("chunk", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int").alias("tile"),
                       "id", "component", "s"))
     both = members.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
 
