@@ -370,12 +370,11 @@ def _links(texts):
         w = tuple(jaccard.WORD.findall((t or "").translate(jaccard.LOWER)))
         sets[i] = {w[k:k + 5] for k in range(len(w) - 4)} if len(w) >= 5 else ({w} if w else set())
     comp = {i: i for i in sets}
+    linked = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
+              and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     for _ in sets:
-        for a in sets:
-            for b in sets:
-                o = len(sets[a] & sets[b])
-                if sets[a] and sets[b] and 100 * o >= 80 * len(sets[a] | sets[b]):
-                    comp[a] = comp[b] = min(comp[a], comp[b])
+        for a, b in linked:
+            comp[a] = comp[b] = min(comp[a], comp[b])
     return {i: (len(s), comp[i]) for i, s in sets.items()}
 
 
@@ -401,6 +400,30 @@ def test_ngram_join_equals_brute_force(spark, odd, none, monkeypatch):
     assert jaccard.link_components(none).count() == 0 and jaccard.one_per_component(none).count() == 0
 
 
+def test_ngram_join_with_one_large_family(spark, monkeypatch):
+    """A third of all rows in one component, a passage that many others share, copies; chunks and tiles of a few sets."""
+    monkeypatch.setattr(jaccard, "CHUNK", 4)
+    monkeypatch.setattr(jaccard, "VISITORS", 3)
+    rng = random.Random(12)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randint(0, 400))
+    base, passage, texts = [word() for _ in range(60)], [word() for _ in range(25)], []
+    for k in range(70):
+        t = list(base)
+        for _ in range(k % 3):
+            t[rng.randrange(60)] = word()
+        texts.append(" ".join(t))
+    for _ in range(60):
+        t = [word() for _ in range(rng.randint(8, 40))]
+        texts.append(" ".join(t + passage if rng.random() < 0.5 else passage + t))
+    texts += [texts[50]] * 20 + [texts[0]] * 10
+    rows = list(enumerate(texts))
+    got = jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = _links(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    sizes = Counter(c for _, c in want.values())
+    assert sizes.most_common(1)[0][1] >= len(rows) / 3
+
+
 def test_components(spark):
     rng = random.Random(9)
     edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(110)] + [(i, i + 1) for i in range(200, 260)]
