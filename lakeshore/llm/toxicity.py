@@ -261,11 +261,14 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample_rows: int, keep) -> Dat
     some = (labels.filter(keep & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
             .select("doc_id", F.col("toxic").cast("int").alias("toxic"))
             .orderBy(F.xxhash64("doc_id", F.lit(5)), "toxic").limit(sample_rows))
-    # the sample is bounded by its parameter, so it may be broadcast; an id that many rows share is one row
+    # the sample is bounded by its parameter, so it may be broadcast
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return (docs.select("doc_id", text.alias("text")).join(F.broadcast(some), "doc_id")
-            .groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-            .select("doc_id", "text", "toxic"))
+    rows = materialize(docs.select("doc_id", text.alias("text")).join(F.broadcast(some), "doc_id"), "tox_sample")
+    once = rows.groupBy("doc_id", "toxic")
+    if once.count().filter("count > 1").isEmpty():
+        return rows
+    # an id that many rows share is one row
+    return materialize(once.agg(F.min_by("text", F.xxhash64("text")).alias("text")), "tox_sample_once")
 
 
 def fit(docs: DataFrame, labels: DataFrame, keep, sample_rows: int = 20_000,
@@ -276,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep, sample_rows: int = 20_000,
     words which only look toxic in the counted texts are weighed by texts they were not
     counted in. The driver gets at most ``max_terms`` terms and a few numbers per row.
     """
-    rows = materialize(_labelled(docs, labels, sample_rows, keep), "tox_sample")
+    rows = _labelled(docs, labels, sample_rows, keep)
     part = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(3)) < 2
     sizes = {(r.lexicon, r.toxic): r.n for r in rows.groupBy(part.alias("lexicon"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     per_class = [sum(n for (_, toxic), n in sizes.items() if (toxic == 1) == kind) for kind in (False, True)]
