@@ -46,6 +46,7 @@ class WordBpe(ByteBpe):
     LETTER, DIGIT, WHITE = ByteBpe.LETTER, ByteBpe.DIGIT, ByteBpe.WHITE
     PIECES = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTER}]+|[{DIGIT}]|[^{WHITE}{LETTER}{DIGIT}]+")
     GLUE = " "
+    KEPT = 250_000
     _shared: dict[str, "WordBpe"] = {}
 
     def __init__(self, file: str):
@@ -83,9 +84,12 @@ def token_pieces(docs: DataFrame, tokenizer_file: str | None = None, capacity: i
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
         tok = WordBpe.shared(tokenizer_file or public_tokenizers.path("word_bpe_49k.json"))
-        for batch in batches:
-            for lo, hi in _spans(batch["text"], 4_000_000):
-                yield pieces_of(batch.iloc[lo:hi], tok, 4 * capacity)
+        try:
+            for batch in batches:
+                for lo, hi in _spans(batch["text"], 2_000_000):
+                    yield pieces_of(batch.iloc[lo:hi], tok, 4 * capacity)
+        finally:
+            tok.known.clear()  # the worker may go on with other operators, which need the memory
 
     def pieces_of(part: pd.DataFrame, tok: WordBpe, width: int) -> pd.DataFrame:
         out = []

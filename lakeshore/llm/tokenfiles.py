@@ -69,6 +69,7 @@ class ByteBpe:
     PARTS = re.compile(r"(?<=[^\s\x1c-\x1f])(?=[ \n][^\s\x1c-\x1f])")
     #: Between words that are encoded together; the pattern parts them there and it makes no token of its own.
     GLUE = ""
+    KEPT = CACHED
     _shared: dict[str, "ByteBpe"] = {}
 
     def __init__(self, file: str):
@@ -87,7 +88,7 @@ class ByteBpe:
         return cls._shared[file]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED:
+        if len(self.known) > self.KEPT:
             self.known.clear()
         pieces = [self._pieces(t) for t in texts]
         self._learn(set().union(*pieces).difference(self.known))
