@@ -437,12 +437,13 @@ def incremental_ingest(spark, d):
 def incremental_silver_merge(spark, d):
     """Orders landing files streamed batch by batch into silver: the insert-only merge appends
     the new orders only (FK-validated against silver customers). A batch that is replayed finds
-    its orders there and appends nothing."""
+    its orders there and appends nothing. Each batch meets the same customers, so their keys are
+    shuffled between executors and not broadcast through the driver by every batch."""
     from ..streaming.ingest import ingest_each_batch
     root = fresh_path(spark, "stream_silver")
     P.land_files(spark, d, root, entities=("orders",))
     schema = bronze(spark, d).orders.schema
-    customers = silver_layer(spark, d).customers
+    customers = silver_layer(spark, d).customers.hint("merge")
     path = f"{root}/silver/orders"
 
     def apply(batch, batch_id):

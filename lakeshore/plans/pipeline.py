@@ -91,9 +91,13 @@ def merge_silver(spark: SparkSession, path: str, source: DataFrame, key: str,
     """Insert-only merge of ``source`` into the Parquet table at ``path``: rows whose key is not
     there are appended, and no stored row is written again. One writer per table; a merge that
     is repeated after a failure finds its rows there. A NULL key matches nothing, so such a row, which silver
-    declares impossible, would be appended by every run (``sources.bucketed.merge_insert`` refuses it)."""
+    declares impossible, would be appended by every run (``sources.bucketed.merge_insert`` refuses it).
+
+    The stored keys are never broadcast: a table that is merged into batch by batch would go through
+    the driver once per batch, as often as there are files."""
     create_table(spark, path, schema)
-    new = anti_join(source.select(*schema.names), spark.read.schema(schema).parquet(path), key)
+    stored = spark.read.schema(schema).parquet(path).hint("merge")
+    new = anti_join(source.select(*schema.names), stored, key)
     new.write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 

@@ -65,3 +65,20 @@ def test_insert_only_merge_appends(spark):
     assert sorted(out.collect(), key=repr) == sorted(
         [(1, "old"), (2, "old"), (3, "new"), (None, "new")], key=repr)
     assert files <= set(out.inputFiles())                  # stored rows were not written again
+
+
+def test_stream_merge_broadcasts_nothing_per_batch(spark, monkeypatch):
+    """Neither the stored orders nor the customers go through the driver with every landing file."""
+    from lakeshore.plans import catalog
+    from lakeshore.plans import pipeline as P
+    plain, plans = P.anti_join, []
+
+    def seen(*args, **kw):
+        df = plain(*args, **kw)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(P, "anti_join", seen)
+    assert catalog.queries()["incremental_silver_merge"](spark, SF_SMALL).count() > 0
+    assert len(plans) >= 3                                  # a batch per landing file at least
+    assert all("Broadcast" not in p and "SortMergeJoin" in p for p in plans)
