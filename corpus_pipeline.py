@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.llm import jaccard, langid, mixing, packing, toxicity
-from lakeshore.session import materialize, ship_package
+from lakeshore.session import materialize, ship_package, small_batches
 
 #: A document is rejected from this toxicity score on.
 TOXIC_FROM = 0.3
@@ -22,6 +22,7 @@ LANGUAGE_LEAST = 0.4
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     ship_package(spark)
+    small_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
     return toxicity.keep_below(docs, model, TOXIC_FROM)
 
@@ -29,23 +30,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose letters have languages that are sure to LANGUAGE_LEAST on average."""
     ship_package(spark)
+    small_batches(spark)
     return langid.keep_identified(docs, langid.fit(docs, F.lit(True)), LANGUAGE_LEAST)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: the one with the smallest id."""
     ship_package(spark)
+    small_batches(spark)
     return jaccard.one_per_component(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
+    small_batches(spark)
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' tokens with their places in the packed sequences."""
     ship_package(spark)
+    small_batches(spark)
     return packing.pack(packing.token_pieces(docs))
 
 

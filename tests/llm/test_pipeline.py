@@ -204,3 +204,29 @@ def test_an_empty_table_and_odd_columns(spark, sf, tmp_path):
         {"score": F.lit("x"), "rank": F.lit(1), "size": F.lit("y"), "id": F.lit(2)})
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert set(stage(spark, more, sf).columns) == set(more.columns), name
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_every_stage_keeps_batches_small(spark, tmp_path, stage):
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    none = spark.createDataFrame([], SCHEMA)
+    lengths = spark.range(2000).coalesce(1).mapInPandas(_lengths, "n long")
+    try:
+        for given, most in ((None, 512), ("100", 100), ("0", 512)):  # Spark's own, smaller and unlimited
+            for key in keys:
+                spark.conf.unset(key)
+            if given:
+                spark.conf.set(keys[0], given)
+            corpus_pipeline.STAGES[stage][1](spark, none, str(tmp_path))
+            got = [r.n for r in lengths.select("n").collect()]
+            assert sum(got) == 2000 and max(got) == most
+            assert int(spark.conf.get(keys[1])) == 512
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+
+
+def _lengths(batches):
+    for batch in batches:
+        yield batch.head(1).assign(n=len(batch))[["n"]]
